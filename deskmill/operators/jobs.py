@@ -83,9 +83,10 @@ def replay(log: DataFrame) -> DataFrame:
         .join(fails, "job_key", "left")
     )
     final_fail = F.get("fails", F.col("max_retries").cast("int"))
-    before_done = F.size(
-        F.filter("fails", lambda f: F.struct(f["at"], f["event_id"]) < F.struct("done.at", "done.event_id"))
+    earlier = F.filter(
+        "fails", lambda f: F.struct(f["at"], f["event_id"]) < F.struct("done.at", "done.event_id")
     )
+    before_done = F.coalesce(F.array_size(earlier), F.lit(0))
     succeeded = F.col("done").isNotNull() & (
         final_fail.isNull()
         | (F.struct("done.at", "done.event_id") < F.struct(final_fail["at"], final_fail["event_id"]))
