@@ -11,7 +11,6 @@ from pyspark.sql import Column, functions as F
 # The text formats of the source.
 WALL_CLOCK_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}$"
 INSTANT_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}(Z|[+-]\d{2}(\d{2})?)$"
-INSTANT_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSX"
 EXPORT_PATTERN = "yyyy-MM-dd HH:mm:ss.SSS"
 
 
@@ -23,14 +22,17 @@ def wall_clock(text: Column) -> Column:
 def instant(text: Column) -> Column:
     """Parse a zoned time to its UTC clock; any other text gives null.
 
-    Text with ``Z`` is already a UTC clock. Text with an offset goes through
-    ``TIMESTAMP`` and back by a difference to the epoch, which no session zone can bend.
+    The offset is taken off as an interval. A detour over ``TIMESTAMP`` would bring in
+    the session zone.
     """
-    utc = text.substr(F.lit(1), F.lit(23)).try_cast("timestamp_ntz")
-    zoned = F.try_to_timestamp(text, F.lit(INSTANT_PATTERN))
-    since_epoch = zoned - F.expr("TIMESTAMP'1970-01-01 00:00:00Z'")
-    shifted = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + since_epoch
-    return F.when(text.rlike(INSTANT_SHAPE), F.when(text.endswith("Z"), utc).otherwise(shifted))
+    clock = text.substr(F.lit(1), F.lit(23)).try_cast("timestamp_ntz")
+    sign = F.when(text.substr(F.lit(24), F.lit(1)) == "-", -1).otherwise(1)
+
+    def part(start: int) -> Column:
+        return sign * F.coalesce(text.substr(F.lit(start), F.lit(2)).try_cast("int"), F.lit(0))
+
+    shifted = clock - F.make_dt_interval(F.lit(0), part(25), part(27))
+    return F.when(text.rlike(INSTANT_SHAPE), F.when(text.endswith("Z"), clock).otherwise(shifted))
 
 
 def local_clock(utc: Column, zone: str) -> Column:

@@ -12,13 +12,15 @@ KEY = "unique_key"
 HASH = "content_hash_hex"
 
 
-def latest_version(valid: DataFrame) -> DataFrame:
+def latest_version(valid: DataFrame, *also_by: str) -> DataFrame:
     """One row per key: newest update first, missing updates last, larger hash on ties.
 
+    ``also_by`` names columns inside whose values a key is looked for, such as a chunk.
+
     The rank filter is pushed below the shuffle, so each task sends at most one row
     per key and a key with many versions does not load one task.
     """
-    newest = Window.partitionBy(KEY).orderBy(
+    newest = Window.partitionBy(*also_by, KEY).orderBy(
         F.col("source_updated_at").desc_nulls_last(), F.col(HASH).desc()
     )
     return valid.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from deskmill.schema import RAW_FIELDS, RAW_SCHEMA
 
@@ -20,7 +20,8 @@ def scan_pages(
     ``files`` limits the scan to the first files by name. Gzip files are not splittable,
     so the number of files is the parallelism of this scan.
     """
-    schema = RAW_SCHEMA.add(CORRUPT, "string") if keep_corrupt else RAW_SCHEMA
+    extra = [T.StructField(CORRUPT, T.StringType())] if keep_corrupt else []
+    schema = T.StructType([*RAW_SCHEMA.fields, *extra])
     reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
     if files:
         names = (

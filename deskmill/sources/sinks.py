@@ -16,7 +16,7 @@ from deskmill.schema import (
 # The dialect of the delimited export, the same for writing and reading.
 DELIMITED = {
     "sep": "\t", "quote": '"', "escape": "\\", "nullValue": "\\N", "header": "false",
-    "lineSep": "\n", "emptyValue": '""',
+    "lineSep": "\n",
 }
 
 

@@ -40,8 +40,8 @@ def merge_pages(
 
     def merge(batch: DataFrame, _: int) -> None:
         valid, _rejected = split_rejects(enrich(batch, zone))
-        keyed = _one_per_chunk(valid)
-        store.load(keyed, run_id)
+        newest = latest_version(valid, "chunk_key")
+        store.load(newest.drop("created_year", "created_month"), run_id)
 
     return (
         page_stream(spark, pages, files_per_batch)
@@ -50,13 +50,3 @@ def merge_pages(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def _one_per_chunk(rows: DataFrame) -> DataFrame:
-    """The newest version of each key inside its own chunk."""
-    inside = rows.withColumn("_ticket", F.col("unique_key")).withColumn(
-        "unique_key", F.concat_ws("\u001f", "chunk_key", "unique_key")
-    )
-    return latest_version(inside).withColumn("unique_key", F.col("_ticket")).drop(
-        "_ticket", "created_year", "created_month"
-    )
