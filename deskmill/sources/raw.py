@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from deskmill.schema import RAW_FIELDS, RAW_SCHEMA
+from deskmill.sources.tables import spread
 
 CORRUPT = "_corrupt_record"
 
@@ -32,7 +33,7 @@ def scan_pages(
             .limit(files)
         )
         paths = [row.p for row in names.collect()]
-    return reader.json(paths)
+    return spread(reader.json(paths))
 
 
 def file_digests(spark: SparkSession, path: str, pattern: str = "*.gz") -> DataFrame:
