@@ -9,12 +9,14 @@ from deskmill.functions.ratios import count_where
 from deskmill.operators import governance as gov
 from deskmill.operators import lineage, marts
 from deskmill.operators.normalize import enrich, normalize
+from deskmill.operators.pages import order_violations, reconcile
 from deskmill.operators.profile import one_row
-from deskmill.operators.versions import latest_version
+from deskmill.operators.versions import latest_version, repeated_keys
 from deskmill.schema import LOCAL_ZONE
+from deskmill.session import materialize
 from deskmill.sources import sinks
 from deskmill.sources.config import Governance
-from deskmill.sources.raw import scan_pages
+from deskmill.sources.raw import file_digests, lines_in_order, read_manifests, scan_pages
 
 
 def transform(
@@ -59,6 +61,58 @@ def transform(
     return spark.read.schema(report.schema).json(f"{out}/report")
 
 
+def validate_raw(spark: SparkSession, root: str) -> DataFrame:
+    """Independent check of a finished extract: one row per month folder.
+
+    Counts and digests of every part against its manifest, month totals against all three
+    declared counts, strict key order along the parts, and keys unique over all months.
+    """
+    months = read_manifests(spark, root)
+    declared = months.select("folder", F.inline("parts")).select(
+        "folder", "file", F.col("rows").alias("part_rows"), "compressed_sha256", "uncompressed_sha256"
+    )
+    lines = materialize(lines_in_order(spark, f"{root}/*/*.gz"))
+    counted = lines.groupBy("folder", "file").agg(F.count("*").alias("read_rows"))
+    digests = file_digests(spark, root).select(
+        "folder", "file", F.col("compressed_sha256").alias("zip"), F.col("uncompressed_sha256").alias("text")
+    )
+    parts = (
+        declared.join(counted, ["folder", "file"], "full_outer")
+        .join(digests, ["folder", "file"], "full_outer")
+        .groupBy("folder")
+        .agg(
+            F.sum("read_rows").alias("actual_rows"),
+            F.bool_and(F.coalesce(F.col("read_rows") == F.col("part_rows"), F.lit(False))).alias("parts_match"),
+            F.bool_and(
+                F.coalesce(
+                    (F.col("zip") == F.col("compressed_sha256")) & (F.col("text") == F.col("uncompressed_sha256")),
+                    F.lit(False),
+                )
+            ).alias("hashes_match"),
+        )
+    )
+    declared_months = months.select(
+        "folder",
+        F.col("rows").alias("manifest_rows"),
+        F.col("source_count_start").alias("source_start"),
+        F.col("source_count_final").alias("source_final"),
+        "complete",
+    )
+    totals = reconcile(parts, declared_months.drop("complete"), ["folder"])
+    broken = order_violations(lines, ["folder"], ["file", "line"], ["created_date", "unique_key"])
+    out_of_order = broken.groupBy("folder").agg(F.count("*").alias("order_violations"))
+    doubled = repeated_keys(lines).agg(F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0))).scalar()
+    return (
+        totals.withColumnRenamed("matches", "counts_match")
+        .join(parts.drop("actual_rows"), "folder", "left")
+        .join(declared_months.select("folder", "complete"), "folder", "left")
+        .join(out_of_order, "folder", "left")
+        .fillna(0, ["order_violations"])
+        .fillna(False, ["parts_match", "hashes_match", "complete"])
+        .withColumn("duplicate_keys_overall", doubled)
+    )
+
+
 def build_serving(current: DataFrame, release_id: int, out: str) -> None:
     """Write the three serving tables of one release; other releases stay as they are."""
     release = F.lit(release_id)

@@ -7,13 +7,10 @@ it again overwrites its own leftovers. There is one writer at a time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from deskmill.operators import loading
 from deskmill.operators.release import activate, pending_chunks, register_candidate
-from deskmill.sources.sinks import balanced
 
 LEDGER = (
     "run_id bigint, chunk_key string, input_sha256 string, row_count bigint, "
@@ -102,7 +99,7 @@ class TicketStore:
             F.col("staged_rows").alias("row_count"), "inserted_rows", "updated_rows", "unchanged_rows",
             F.lit("COMMITTED").alias("status"),
         )
-        self._write("current", version, balanced(loading.merged_current(classified, before, run), "unique_key"))
+        self._write("current", version, loading.merged_current(classified, before, run))
         self._write("history", version, loading.new_versions(classified, self.history(), run))
         self._write("ledger", version, ledger)
         chunks = self.spark.read.parquet(self._path("ledger", version)).count()
@@ -142,8 +139,3 @@ class TicketStore:
         self._write("registry", version, registry.coalesce(1))
         self._point("registry", version)
         return passed
-
-
-def staged_chunks(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Ticket columns of an import plus its chunk name."""
-    return rows.select(*columns, "chunk_key")

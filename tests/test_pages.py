@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deskmill.operators import pages
+from deskmill.plans.warehouse import validate_raw
 from deskmill.operators.serving import after_cursor, before_cursor, offset_page, runs_with_status
 from deskmill.schema import DQ_RUN_STATUSES
 from deskmill.sources.raw import file_digests, scan_pages, snapshots
@@ -112,3 +113,48 @@ def test_latest_snapshot_by_name(spark, tmp_path):
         (folder / f"{name}.json").write_text(json.dumps([{"v": v} for v in values]))
     newest = pages.latest_batch(snapshots(spark, str(tmp_path)), "snapshot_name", "snapshot_time")
     assert sorted((r.snapshot_name, r.v) for r in newest.collect()) == [("a", 2), ("a", 3), ("b", 4)]
+
+
+def build_extract(root, months, **manifest):
+    for month, parts in months.items():
+        folder = root / f"month={month:02d}"
+        listed, rows = [], 0
+        for i, keys in enumerate(parts):
+            page = folder / f"part-{i:05d}.jsonl.gz"
+            lines = [json.dumps({"created_date": f"2025-{month:02d}-01", "unique_key": k}) for k in keys]
+            write_page(page, lines)
+            text = "".join(f"{line}\n" for line in lines).encode()
+            listed.append(
+                {
+                    "file": page.name, "rows": len(keys),
+                    "compressed_sha256": hashlib.sha256(page.read_bytes()).hexdigest(),
+                    "uncompressed_sha256": hashlib.sha256(text).hexdigest(),
+                }
+            )
+            rows += len(keys)
+        body = {"month": month, "rows": rows, "source_count_start": rows, "source_count_final": rows, "complete": True, "parts": listed}
+        (folder / "manifest.json").write_text(json.dumps({**body, **manifest}))
+
+
+def checks(spark, root):
+    rows = validate_raw(spark, str(root)).collect()
+    return {r.folder: (r.counts_match, r.parts_match, r.hashes_match, r.order_violations, r.duplicate_keys_overall) for r in rows}
+
+
+def test_raw_validation_of_a_sound_extract(spark, tmp_path):
+    build_extract(tmp_path, {1: [["1", "2", "3"], ["4"]], 2: [["5"]]})
+    assert checks(spark, tmp_path) == {m: (True, True, True, 0, 0) for m in ("month=01", "month=02")}
+
+
+def test_raw_validation_finds_faults(spark, tmp_path):
+    build_extract(tmp_path, {1: [["1", "3", "2"], ["2", "4"]], 2: [["4"]]})
+    assert checks(spark, tmp_path)["month=01"] == (True, True, True, 2, 2)
+    write_page(tmp_path / "month=02" / "part-00000.jsonl.gz", ['{"unique_key": "9", "created_date": "a"}', '{"unique_key": "9", "created_date": "b"}'])
+    assert checks(spark, tmp_path)["month=02"] == (False, False, False, 0, 2)
+
+
+def test_raw_validation_sees_source_drift_and_lost_parts(spark, tmp_path):
+    build_extract(tmp_path, {1: [["1"], ["2"]]}, source_count_final=3)
+    assert checks(spark, tmp_path)["month=01"][:3] == (False, True, True)
+    build_extract(tmp_path, {1: [["1"]]})
+    assert checks(spark, tmp_path)["month=01"][:3] == (False, False, False)
