@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from deskmill.operators import closure_model as model
@@ -68,15 +69,17 @@ def closure_model_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def model_auc(spark: SparkSession, folder: str) -> DataFrame:
-    test = _scored(spark, folder).filter("split = 'test'").select("label", "rawPrediction").persist()
-    roc = model.area_under(test, "areaUnderROC")
-    pr = model.area_under(test, "areaUnderPR")
-    out = test.agg(
+    test = _scored(spark, folder).filter("split = 'test'").select("label", "rawPrediction")
+    kept = test.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        roc, pr = model.area_under(kept, "areaUnderROC"), model.area_under(kept, "areaUnderPR")
+    finally:
+        kept.unpersist()
+    return test.agg(
         F.count("*").alias("row_count"),
         F.lit(round(roc, 6)).alias("roc_auc"),
         F.lit(round(pr, 6)).alias("pr_auc"),
     )
-    return out
 
 
 QUERIES = {

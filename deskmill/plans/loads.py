@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from deskmill.functions.times import month_name, wall_clock
 from deskmill.operators import pages, release, versions
@@ -11,11 +11,11 @@ from deskmill.plans.oracle import over_runs, over_tickets
 from deskmill.sources.tables import table
 from deskmill.sources.tickets import raw_tickets
 
-def _run_2():
-    return F.lit(2).cast("bigint")
+PAGE_ROWS = 50
 
 
-PAGE_ROWS = 50
+def _run_2() -> Column:
+    return F.lit(2).cast("bigint")
 
 
 def _classified(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,8 +75,8 @@ def load_gate(spark: SparkSession, folder: str) -> DataFrame:
     return release.load_gate(frames.current(spark, folder), _merged(spark, folder), expected)
 
 
-def _month(column: str = "created_date"):
-    return month_name(F.col(column)).alias("chunk_key")
+def _month() -> Column:
+    return month_name(F.col("created_date")).alias("chunk_key")
 
 
 def _ledger(spark: SparkSession, folder: str) -> DataFrame:

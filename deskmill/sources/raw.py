@@ -28,14 +28,9 @@ def scan_pages(
     schema = T.StructType([*RAW_SCHEMA.fields, *extra])
     reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
     if files:
-        names = (
-            reader.json(paths)
-            .select(F.col("_metadata.file_path").alias("p"))
-            .distinct()
-            .orderBy("p")
-            .limit(files)
-        )
-        paths = [row.p for row in names.collect()]
+        # Only the listing is read here, no file content.
+        names = spark.read.format("binaryFile").load(paths).select("path").orderBy("path").limit(files)
+        paths = [row.path for row in names.collect()]
     return spread(reader.json(paths))
 
 

@@ -84,6 +84,8 @@ class TicketStore:
         done = self.ledger()
         wanted = staged.select("chunk_key").distinct().withColumn("run_id", run)
         left = pending_chunks(wanted, done).select("chunk_key")
+        if left.isEmpty():
+            return 0
         version = self.version() + 1
         rows = staged.join(left, "chunk_key", "left_semi")
         self._write("staging", version, rows)
@@ -102,10 +104,8 @@ class TicketStore:
         self._write("current", version, loading.merged_current(classified, before, run))
         self._write("history", version, loading.new_versions(classified, self.history(), run))
         self._write("ledger", version, ledger)
-        chunks = self.spark.read.parquet(self._path("ledger", version)).count()
-        if chunks:
-            self._point("ledger", version)
-        return chunks
+        self._point("ledger", version)
+        return self.spark.read.parquet(self._path("ledger", version)).count()
 
     @staticmethod
     def _digest() -> Column:

@@ -1,16 +1,17 @@
 """Streaming source over keyset pages, resumable at a (created_date, unique_key) cursor.
 
-The pages are Parquet files in a shared folder next to a manifest with one JSON line per
-page: file, rows, first and last key. The driver only reads the manifest; each page is
-one partition and is read by a task, in Arrow batches.
+The pages are Parquet files in a shared folder (any file system Arrow can open) next to a
+manifest with one JSON line per page: file, rows, first and last key. The driver only
+reads the manifest; each page is one partition and is read by a task, in Arrow batches.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from pathlib import Path
 
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
@@ -30,7 +31,7 @@ def write_pages(rows: DataFrame, folder: str, page_rows: int) -> None:
     stored = rows.sparkSession.read.parquet(f"{folder}/pages")
     listing = manifest(stored.withColumn("file", F.col("_metadata.file_path")), ["file"], ORDER)
     flat = listing.select(
-        F.regexp_replace("file", "^file:/+", "/").alias("file"),
+        F.regexp_replace("file", "^file:/+", "file:///").alias("file"),
         F.col("page").cast("bigint").alias("page"),
         "row_count",
         F.array("first_key.created_date", "first_key.unique_key").alias("first_key"),
@@ -53,10 +54,13 @@ class KeysetReader(DataSourceStreamReader):
         self.seen = START
 
     def _pages_after(self, cursor: list[str]) -> list[dict]:
+        files, folder = fs.FileSystem.from_uri(f"{self.folder}/manifest")
         found = []
-        for part in sorted(Path(self.folder, "manifest").glob("part-*.json")):
-            with part.open(encoding="utf-8") as lines:
-                found += [p for p in map(json.loads, lines) if p["last_key"] > cursor]
+        for part in files.get_file_info(fs.FileSelector(folder)):
+            if part.extension == "json" and not part.base_name.startswith((".", "_")):
+                with files.open_input_stream(part.path) as text:
+                    pages = map(json.loads, text.read().decode().splitlines())
+                    found += [p for p in pages if p["last_key"] > cursor]
         return sorted(found, key=lambda p: p["first_key"])
 
     def initialOffset(self) -> dict:
@@ -74,9 +78,9 @@ class KeysetReader(DataSourceStreamReader):
         return [PagePartition(p["file"]) for p in pages if p["last_key"] <= end["cursor"]]
 
     def read(self, partition: PagePartition) -> Iterator:
-        import pyarrow.parquet as pq
-
-        yield from pq.ParquetFile(partition.file).iter_batches(columns=self.names)
+        files, path = fs.FileSystem.from_uri(partition.file)
+        with files.open_input_file(path) as page:
+            yield from pq.ParquetFile(page).iter_batches(columns=self.names)
 
     def commit(self, end: dict) -> None:
         pass
