@@ -42,7 +42,7 @@ def file_jobs(spark: SparkSession, folder: str) -> dict[str, Callable[[], object
 
     def load() -> int:
         chunks = import_delimited(spark, f"{out}/export").drop("content_hash")
-        store = TicketStore(spark, f"{work}/store").create(chunks.drop("chunk_key"))
+        store = TicketStore(spark, f"{work}/store", buckets=8).create(chunks.drop("chunk_key"))
         return store.load(chunks, 1)
 
     return {

@@ -2,15 +2,22 @@
 
 Each load is one numbered commit: first the data files of the commit, then its ledger
 rows. Readers follow the ledger, so a load that dies half-way is invisible, and running
-it again overwrites its own leftovers. There is one writer at a time.
+it again overwrites or passes by its own leftovers. There is one writer at a time.
+
+The current state is bucketed and sorted by ticket key. A load shuffles its own rows to
+the buckets; the stored rows, by far the larger side, are joined where they lie.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import hashlib
+import uuid
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from deskmill.operators import loading
 from deskmill.operators.release import activate, pending_chunks, register_candidate
+from deskmill.operators.versions import KEY
 
 LEDGER = (
     "run_id bigint, chunk_key string, input_sha256 string, row_count bigint, "
@@ -23,21 +30,23 @@ REGISTRY = (
 
 
 class TicketStore:
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64) -> None:
+        """``buckets`` counts for a new store; size it so that a bucket fits a task."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
 
     def create(self, ticket: DataFrame) -> TicketStore:
         """Lay down the empty tables; ``ticket`` gives the columns of a staged ticket."""
         none = ticket.filter("false")
         runs = {"first_seen_run_id": F.lit(0).cast("bigint"), "last_seen_run_id": F.lit(0).cast("bigint")}
         history = none.withColumn("run_id", F.lit(0).cast("bigint")).select(*loading.HISTORY_FIELDS)
-        self._write("current", 0, none.withColumns(runs))
+        place = self._write_current(none.withColumns(runs))
         self._write("history", 0, history)
         self._write("registry", 0, self.spark.createDataFrame([], REGISTRY))
         self._write("ledger", 0, self.spark.createDataFrame([], LEDGER))
         self._point("registry", 0)
-        self._point("ledger", 0)
+        self._point("ledger", 0, place)
         return self
 
     def _path(self, table: str, version: int) -> str:
@@ -46,14 +55,31 @@ class TicketStore:
     def _write(self, table: str, version: int, rows: DataFrame) -> None:
         rows.write.mode("overwrite").parquet(self._path(table, version))
 
-    def _point(self, table: str, version: int) -> None:
+    def _table_name(self, place: str) -> str:
+        return f"ticket_current_{hashlib.sha256(place.encode()).hexdigest()[:16]}"
+
+    def _write_current(self, rows: DataFrame) -> str:
+        """Write a bucketed snapshot to a new place and return the place."""
+        place = f"{self.root}/current/{uuid.uuid4().hex}"
+        buckets = rows.write.format("parquet").bucketBy(self.buckets, KEY).sortBy(KEY)
+        buckets.option("path", place).saveAsTable(self._table_name(place))
+        return place
+
+    def _point(self, table: str, version: int, place: str = "") -> None:
         """Make a version visible; this small file is always written last."""
-        row = self.spark.range(1).select(F.lit(version).alias("version"))
+        row = self.spark.range(1).select(
+            F.lit(version).alias("version"), F.lit(place).alias("place"), F.lit(self.buckets).alias("buckets")
+        )
         row.coalesce(1).write.mode("overwrite").json(f"{self.root}/_visible/{table}/v{version:09d}")
 
+    def _visible(self, table: str) -> Row:
+        points = self.spark.read.schema("version bigint, place string, buckets int").json(
+            f"{self.root}/_visible/{table}/*"
+        )
+        return points.orderBy(F.desc("version")).first()
+
     def _version(self, table: str) -> int:
-        points = self.spark.read.schema("version bigint").json(f"{self.root}/_visible/{table}/*")
-        return points.agg(F.max("version")).first()[0]
+        return self._visible(table).version
 
     def _upto(self, table: str, version: int) -> DataFrame:
         rows = self.spark.read.parquet(f"{self.root}/{table}")
@@ -69,7 +95,16 @@ class TicketStore:
         return self._upto("history", self.version())
 
     def current(self) -> DataFrame:
-        return self.spark.read.parquet(self._path("current", self.version()))
+        """The visible snapshot; its buckets are declared to a session that lacks them."""
+        seen = self._visible("ledger")
+        name = self._table_name(seen.place)
+        if not self.spark.catalog.tableExists(name):
+            columns = self.spark.read.parquet(seen.place).schema.toDDL()
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({KEY}) "
+                f"SORTED BY ({KEY}) INTO {seen.buckets} BUCKETS LOCATION '{seen.place}'"
+            )
+        return self.spark.table(name)
 
     def registry(self) -> DataFrame:
         return self.spark.read.parquet(self._path("registry", self._version("registry")))
@@ -86,7 +121,8 @@ class TicketStore:
         left = pending_chunks(wanted, done).select("chunk_key")
         if left.isEmpty():
             return 0
-        version = self.version() + 1
+        seen = self._visible("ledger")
+        version, self.buckets = seen.version + 1, seen.buckets
         rows = staged.join(left, "chunk_key", "left_semi")
         self._write("staging", version, rows)
         rows = self.spark.read.parquet(self._path("staging", version))
@@ -101,10 +137,10 @@ class TicketStore:
             F.col("staged_rows").alias("row_count"), "inserted_rows", "updated_rows", "unchanged_rows",
             F.lit("COMMITTED").alias("status"),
         )
-        self._write("current", version, loading.merged_current(classified, before, run))
+        place = self._write_current(loading.merged_current(classified, before, run))
         self._write("history", version, loading.new_versions(classified, self.history(), run))
         self._write("ledger", version, ledger)
-        self._point("ledger", version)
+        self._point("ledger", version, place)
         return self.spark.read.parquet(self._path("ledger", version)).count()
 
     @staticmethod

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deskmill.functions.times import local_clock
-from deskmill.operators import marts
+from deskmill.operators import loading, marts
 from deskmill.operators.versions import latest_version
 from deskmill.plans import frames, warehouse
 from deskmill.schema import LOCAL_ZONE, RAW_FIELDS, RAW_SCHEMA
@@ -124,7 +124,7 @@ def staged(rows, chunk):
 
 @pytest.fixture
 def store(spark, tickets, tmp_path):
-    return TicketStore(spark, str(tmp_path / "store")).create(staged(tickets({}), "x").drop("chunk_key"))
+    return TicketStore(spark, str(tmp_path / "store"), buckets=4).create(staged(tickets({}), "x").drop("chunk_key"))
 
 
 def ledger(store):
@@ -164,6 +164,20 @@ def test_crash_before_the_ledger_is_invisible(store, tickets, monkeypatch):
     assert (store.current().count(), store.history().count(), store.ledger().count()) == (1, 1, 1)
 
 
+def test_stored_rows_are_not_shuffled_for_a_load(spark, store, tickets):
+    store.load(staged(tickets({}, {"unique_key": "2"}), "c1"), 1)
+    rows = staged(tickets({"unique_key": "2", "status": "Closed"}), "c2")
+    # A session that finds the files only gets the same buckets.
+    spark.sql(f"DROP TABLE {store._table_name(store._visible('ledger').place)}")
+    again = TicketStore(spark, store.root)
+    before = again.current()
+    classified = loading.classify_chunks(rows, before)
+    plan = loading.merged_current(classified, before, F.lit(2))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Bucketed: true") == 2
+    assert again.load(rows, 2) == 1
+    assert {r.unique_key: r.status for r in again.current().collect()} == {"1": "Open", "2": "Closed"}
+
+
 def test_double_key_in_a_chunk_is_refused(store, tickets):
     with pytest.raises(ValueError):
         store.load(staged(tickets({}, {"status": "Closed"}), "c1"), 1)
@@ -192,7 +206,7 @@ def test_stream_of_pages(spark, tickets, raw, tmp_path):
     folder = tmp_path / "pages"
     base = {f: v for f, v in raw({}).first().asDict().items() if v is not None}
     write_page(folder, "part-0.jsonl.gz", [base, {**base, "unique_key": "2"}, {**base, "agency": ""}])
-    store = TicketStore(spark, str(tmp_path / "store")).create(staged(tickets({}), "x").drop("chunk_key"))
+    store = TicketStore(spark, str(tmp_path / "store"), buckets=4).create(staged(tickets({}), "x").drop("chunk_key"))
 
     def run(checkpoint):
         merge_pages(spark, store, str(folder), str(tmp_path / checkpoint), 5).awaitTermination()
