@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from deskmill.llm import line_dedup, near_dedup
+from deskmill.llm import line_dedup, near_dedup, toxicity
 
-_MODULES = [line_dedup, near_dedup]
+_MODULES = [line_dedup, near_dedup, toxicity]
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLE", {}).items()}
