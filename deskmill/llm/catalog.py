@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from deskmill.llm import line_dedup, mixing, near_dedup, packing, toxicity
+from deskmill.llm import line_dedup, mixing, near_dedup, nearest, packing, sharding, toxicity
 
-_MODULES = [line_dedup, mixing, near_dedup, packing, toxicity]
+_MODULES = [line_dedup, mixing, near_dedup, nearest, packing, sharding, toxicity]
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLE", {}).items()}
