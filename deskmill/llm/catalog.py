@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from deskmill.llm import line_dedup, mixing, near_dedup, nearest, packing, sharding, toxicity
+from deskmill.llm import (
+    line_dedup, mixing, near_dedup, nearest, packing, quality, sharding, token_counts, toxicity, url_filter,
+)
 
-_MODULES = [line_dedup, mixing, near_dedup, nearest, packing, sharding, toxicity]
+_MODULES = [
+    token_counts, near_dedup, sharding, url_filter, nearest, packing, line_dedup, mixing, quality, toxicity,
+]
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLE", {}).items()}

@@ -41,7 +41,7 @@ def without(rows: DataFrame, *names: str) -> DataFrame:
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value``, which is computed once however often the body uses it."""
-    return F.transform(F.array(value), body)[0]
+    return F.transform(F.array(value), lambda x: body(x))[0]
 
 
 def n_words(text: Column) -> Column:
