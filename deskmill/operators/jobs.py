@@ -7,15 +7,15 @@ kind of the event before them, up to the event that finishes the job. That needs
 look at the neighbour in a global order, not a fold over all events of a job, and a job
 with very many events is spread over tasks like any other rows.
 
-A job may fail ``max_retries`` times and run again; the next fail is final.
+A job may fail ``max_retries`` times (null: twice) and run again; the next fail is final.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from deskmill.operators.ordered import previous_row
-from deskmill.schema import MAX_RETRY_LIMIT
+from deskmill.operators.ordered import previous_row, row_number
+from deskmill.schema import DEFAULT_RETRIES
 
 PLACE = ["at", "event_id"]
 
@@ -25,6 +25,7 @@ def _submits(log: DataFrame) -> DataFrame:
     params = ["release_key", "asset_key", "max_retries"]
     per_set = (
         log.filter("action = 'submit'")
+        .withColumn("max_retries", F.coalesce("max_retries", F.lit(DEFAULT_RETRIES)))
         .groupBy("job_key", *params)
         .agg(F.count("*").alias("n"), F.min(F.struct(*PLACE)).alias("first"))
     )
@@ -69,11 +70,11 @@ def replay(log: DataFrame) -> DataFrame:
         F.min(F.when(F.col("action") == "complete", F.struct(*PLACE, "dq_run_id"))).alias("done"),
         F.max(F.struct(*PLACE, "action")).alias("last"),
     )
-    earliest = Window.partitionBy("job_key").orderBy(*PLACE)
+    # Of a job, only the fails that its own retries allow and the final one matter.
     fails = (
-        turns.filter("action = 'fail'")
-        .withColumn("_n", F.row_number().over(earliest))
-        .filter(F.col("_n") <= MAX_RETRY_LIMIT + 1)
+        row_number(turns.filter("action = 'fail'"), ["job_key"], PLACE, "_n")
+        .join(submits.select("job_key", "max_retries"), "job_key")
+        .filter(F.col("_n") <= F.col("max_retries") + 1)
         .groupBy("job_key")
         .agg(F.array_sort(F.collect_list(F.struct(*PLACE, "message"))).alias("fails"))
     )

@@ -41,8 +41,9 @@ def edge_violations(edges: DataFrame, assets: DataFrame) -> DataFrame:
     )
 
 
-def closure(edges: DataFrame) -> DataFrame:
-    """All (ancestor, descendant) pairs with the length of the shortest path.
+def closure(edges: DataFrame, starts: DataFrame) -> DataFrame:
+    """(ancestor, descendant) pairs below the given ``starts`` (asset_key), with the length
+    of the shortest path.
 
     Breadth first: each round extends only the pairs found in the round before and drops
     the known ones, so it also ends on cyclic graphs. Every round is written to the
@@ -50,7 +51,8 @@ def closure(edges: DataFrame) -> DataFrame:
     """
     step = edges.select(F.col("upstream").alias("_from"), F.col("downstream").alias("_to")).distinct()
     step = materialize(step)
-    newest = step.select(
+    from_start = step.join(starts.select(F.col("asset_key").alias("_from")).distinct(), "_from", "left_semi")
+    newest = from_start.select(
         F.col("_from").alias("ancestor"), F.col("_to").alias("descendant"), F.lit(1).alias("depth")
     )
     found = newest
@@ -86,3 +88,46 @@ def cyclic_core(edges: DataFrame) -> DataFrame:
             break
         size = smaller
     return left.select("upstream", "downstream")
+
+
+def _spread(values: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+    """``values`` (node, ``name``) after each node took the largest one that reaches it."""
+    while True:
+        sent = edges.join(values, F.col("upstream") == F.col("node")).select(F.col("downstream").alias("node"), name)
+        after = materialize(values.unionByName(sent).groupBy("node").agg(F.max(name).alias(name)))
+        if after.exceptAll(values).isEmpty():
+            return after
+        values = after
+
+
+def cycle_edges(edges: DataFrame) -> DataFrame:
+    """The edges that lie on a cycle; none exactly if the graph is free of cycles.
+
+    What trimming leaves also holds the ways between cycles. There, every node takes the
+    largest name that reaches it; the nodes that reach the bearer of their name, by nodes
+    of the same name, are on cycles with it. Their edges are kept, they are taken out, and
+    the rest is trimmed and named again.
+    """
+    left, found = cyclic_core(edges), None
+    while not left.isEmpty():
+        nodes = left.select(F.col("upstream").alias("node")).unionByName(left.select(F.col("downstream").alias("node")))
+        colour = _spread(nodes.distinct().withColumn("colour", F.col("node")), left, "colour")
+        up, down = colour.alias("u"), colour.alias("d")
+        inner = materialize(
+            left.join(up, F.col("upstream") == F.col("u.node"))
+            .join(down, F.col("downstream") == F.col("d.node"))
+            .filter("u.colour = d.colour")
+            .select(F.col("downstream").alias("upstream"), F.col("upstream").alias("downstream"))
+        )
+        roots = colour.filter("node = colour").select("node", F.lit(1).alias("back"))
+        member = _spread(roots, inner, "back").select("node")
+        starts, ends = member.withColumnRenamed("node", "upstream"), member.withColumnRenamed("node", "downstream")
+        cycle = (
+            inner.select(F.col("downstream").alias("upstream"), F.col("upstream").alias("downstream"))
+            .join(starts, "upstream", "left_semi")
+            .join(ends, "downstream", "left_semi")
+            .select("upstream", "downstream")
+        )
+        found = cycle if found is None else found.unionByName(cycle)
+        left = cyclic_core(left.join(starts, "upstream", "left_anti").join(ends, "downstream", "left_anti"))
+    return left if found is None else found

@@ -53,15 +53,17 @@ def digest_pages(pages: DataFrame, groups: Sequence[str], row_hash: str) -> Data
 def order_violations(
     df: DataFrame, groups: Sequence[str], position: Sequence[str], key: Sequence[str]
 ) -> DataFrame:
-    """Rows whose key is not above the key of the row before them in file order."""
+    """Rows whose key is not above the key of the row before them in file order.
+
+    Rows without any key, as broken lines are, have no place in the order: the rows around
+    them are compared with each other.
+    """
     carry = {f"previous_{k}": k for k in key}
-    rows = previous_row(df, groups, position, carry)
+    keyed = df.dropna("all", subset=list(key))
+    rows = previous_row(keyed.withColumn("_here", F.lit(True)), groups, position, {**carry, "_after": "_here"})
     now = F.struct(*[F.col(k) for k in key])
     before = F.struct(*[F.col(f"previous_{k}").alias(k) for k in key])
-    first = F.lit(True)
-    for k in key:
-        first = first & F.col(f"previous_{k}").isNull()
-    return rows.filter(~first & (now <= before))
+    return rows.filter(F.col("_after") & (now <= before)).drop("_here", "_after")
 
 
 def reconcile(actual: DataFrame, declared: DataFrame, groups: Sequence[str]) -> DataFrame:

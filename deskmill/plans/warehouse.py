@@ -23,7 +23,6 @@ def transform(
     spark: SparkSession,
     pages: str | list[str],
     out: str,
-    files: int = 0,
     export_chunks: int | None = None,
     zone: str = LOCAL_ZONE,
 ) -> DataFrame:
@@ -34,8 +33,8 @@ def transform(
     """
     stage, detail = f"{out}/stage", f"{out}/dwd_ticket"
     summary, export = f"{out}/dws_created_daily", f"{out}/export"
-    rows = enrich(normalize(scan_pages(spark, pages, files)), zone)
-    rows.withColumn("rejected", is_rejected()).write.mode("overwrite").partitionBy("rejected").parquet(stage)
+    rows = enrich(normalize(scan_pages(spark, pages)), zone)
+    sinks.replaced(rows.withColumn("rejected", is_rejected())).partitionBy("rejected").parquet(stage)
     staged = spark.read.parquet(stage)
 
     sinks.write_detail(latest_version(staged.filter(~F.col("rejected")).drop("rejected")), detail)
@@ -133,13 +132,16 @@ def quality_run(
     """Check the lineage, evaluate all enabled rules, keep the result rows, return the verdict."""
     if not lineage.edge_violations(config.lineage, config.assets).isEmpty():
         raise ValueError("lineage names an unknown asset or the same asset twice")
-    if not lineage.cyclic_core(config.lineage).isEmpty():
+    if not lineage.cycle_edges(config.lineage).isEmpty():
         raise ValueError("lineage has a cycle")
     bad_rules = gov.rule_violations(config.rules)
     if not bad_rules.isEmpty():
         raise ValueError(f"rule definitions are not valid: {bad_rules.first()}")
     metrics = gov.rule_metrics(detail, summary, current, scope_year)
     rows = gov.result_rows(gov.evaluate_rules(metrics, config.rules), F.lit(run_id))
-    rows.coalesce(1).write.mode("append").parquet(f"{out}/dq_result")
+    # A partition per run, so that a run that is repeated replaces its own rows only.
+    rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "dq_run_id"
+    ).parquet(f"{out}/dq_result")
     stored = detail.sparkSession.read.parquet(f"{out}/dq_result")
     return gov.verdict(stored.filter(F.col("dq_run_id") == run_id))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ def build_session(name: str, master: str | None = None, **conf: str) -> SparkSes
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Files of a checkpoint go when nothing refers to it any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -33,7 +35,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
     if not configured:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="deskmill-checkpoint-")
     if not context.getCheckpointDir():

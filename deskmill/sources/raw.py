@@ -10,28 +10,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from deskmill.schema import RAW_FIELDS, RAW_SCHEMA
-from deskmill.sources.tables import spread
 
 CORRUPT = "_corrupt_record"
 
 
 def scan_pages(
-    spark: SparkSession, paths: Sequence[str] | str, files: int = 0, keep_corrupt: bool = False
+    spark: SparkSession, paths: Sequence[str] | str, keep_corrupt: bool = False
 ) -> DataFrame:
     """JSON Lines pages with the declared all-text schema; no inference pass.
 
     A broken line becomes a row of nulls, which the reject rule drops and counts.
-    ``files`` limits the scan to the first files by name. Gzip files are not splittable,
-    so the number of files is the parallelism of this scan.
+    Gzip files are not splittable, so the number of files is the parallelism of this scan.
     """
     extra = [T.StructField(CORRUPT, T.StringType())] if keep_corrupt else []
     schema = T.StructType([*RAW_SCHEMA.fields, *extra])
     reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
-    if files:
-        # Only the listing is read here, no file content.
-        names = spark.read.format("binaryFile").load(paths).select("path").orderBy("path").limit(files)
-        paths = [row.path for row in names.collect()]
-    return spread(reader.json(paths))
+    return reader.json(paths)
 
 
 @F.pandas_udf(T.StringType())

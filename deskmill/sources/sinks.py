@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from deskmill.functions.times import EXPORT_PATTERN, local_clock
 from deskmill.schema import (
@@ -29,15 +29,20 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def replaced(df: DataFrame) -> DataFrameWriter:
+    """A writer that also takes away partitions which the new rows lack."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+
+
 def write_detail(current: DataFrame, path: str) -> None:
     """Tickets by created year and month, in time order within each file."""
     laid = balanced(current, "created_year", "created_month")
     ordered = laid.sortWithinPartitions("created_year", "created_month", "created_date", "unique_key")
-    ordered.write.mode("overwrite").partitionBy("created_year", "created_month").parquet(path)
+    replaced(ordered).partitionBy("created_year", "created_month").parquet(path)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    balanced(summary, "agency").write.mode("overwrite").partitionBy("agency").parquet(path)
+    replaced(balanced(summary, "agency")).partitionBy("agency").parquet(path)
 
 
 def write_serving(rows: DataFrame, path: str) -> None:

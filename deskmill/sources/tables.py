@@ -34,16 +34,3 @@ SCHEMAS = {
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
-
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Deal the rows of a scan out to all cores if it has fewer tasks than that.
-
-    With ``columns``, a unique key, the rows go by its hash, else in turn.
-
-    A single row group or gzip file is read by one task, and everything up to the next
-    shuffle would stay in that task. A scan with enough tasks passes through unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, *columns)
-    return df

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from deskmill.schema import RAW_FIELDS
-from deskmill.sources.tables import spread, table
+from deskmill.sources.tables import table
 
 TICKET_SQL = """
 SELECT
@@ -65,7 +65,9 @@ def raw_tickets(spark: SparkSession, folder: str) -> DataFrame:
         F.array(F.lit(1))
     )
     observed = (
-        spread(table(spark, folder, "orders"), "o_orderkey")
+        # One Parquet row group is one task; everything after it is spread by the key.
+        table(spark, folder, "orders")
+        .repartition("o_orderkey")
         .join(table(spark, folder, "customer"), F.col("c_custkey") == F.col("o_custkey"))
         .join(table(spark, folder, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
         .join(table(spark, folder, "region"), F.col("r_regionkey") == F.col("n_regionkey"))

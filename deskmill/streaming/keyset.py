@@ -50,7 +50,6 @@ class KeysetReader(DataSourceStreamReader):
     def __init__(self, schema: StructType, options: dict) -> None:
         self.names = schema.fieldNames()
         self.folder = options["path"]
-        self.per_batch = int(options.get("pagesPerBatch", "100"))
         self.seen = START
 
     def _pages_after(self, cursor: list[str]) -> list[dict]:
@@ -67,7 +66,8 @@ class KeysetReader(DataSourceStreamReader):
         return {"cursor": START}
 
     def latestOffset(self) -> dict:
-        pages = self._pages_after(self.seen)[: self.per_batch]
+        # All pages there are: an available-now run asks once and must reach the last one.
+        pages = self._pages_after(self.seen)
         if pages:
             self.seen = pages[-1]["last_key"]
         return {"cursor": self.seen}
@@ -97,11 +97,10 @@ class KeysetPages(DataSource):
         return KeysetReader(schema, dict(self.options))
 
 
-def page_source(spark: SparkSession, folder: str, schema: StructType, per_batch: int = 100) -> DataFrame:
+def page_source(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
     spark.dataSource.register(KeysetPages)
     return (
         spark.readStream.format("keyset_pages")
         .schema(schema)
-        .option("pagesPerBatch", str(per_batch))
         .load(folder)
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote, urlparse
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,13 +14,15 @@ from deskmill.sources.store import TicketStore
 
 
 def page_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """New page files as normalised tickets; the file name is the chunk."""
+    """New page files as normalised tickets; the place below ``path`` is the chunk, since
+    every month folder has a first page of the same name."""
+    below = quote(urlparse(path).path.rstrip("/")) + "/"
     raw = (
         spark.readStream.schema(RAW_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", "true")
         .json(path)
-        .withColumn("chunk_key", F.col("_metadata.file_name"))
+        .withColumn("chunk_key", F.substring_index("_metadata.file_path", below, -1))
     )
     return normalize(raw, "chunk_key")
 

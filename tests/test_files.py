@@ -221,6 +221,12 @@ def test_stream_of_pages(spark, tickets, raw, tmp_path):
     assert run("ck") == (2, 2, 3)
     assert store.current().filter("unique_key = '1'").first().status == "Closed"
     assert ledger(store) == [(5, "part-0.jsonl.gz", 2, 2, 0, 0), (5, "part-1.jsonl.gz", 1, 0, 1, 0)]
+    # The same file name in two month folders: two chunks.
+    for month, key in (("month=01", "11"), ("month=02", "12")):
+        (folder / month).mkdir()
+        write_page(folder / month, "part-1.jsonl.gz", [{**base, "unique_key": key}])
+    assert run("ck") == (3, 4, 5)
+    assert {r[1] for r in ledger(store)} >= {"month=01/part-1.jsonl.gz", "month=02/part-1.jsonl.gz"}
 
 
 def test_keyset_stream_resumes(spark, raw, tmp_path):
@@ -231,10 +237,10 @@ def test_keyset_stream_resumes(spark, raw, tmp_path):
         ])
 
     folder, out = str(tmp_path / "source"), str(tmp_path / "out")
-    write_pages(rows(9), folder, 4)
+    write_pages(rows(240), folder, 2)  # 120 pages
 
     def run():
-        stream = page_source(spark, folder, RAW_SCHEMA, per_batch=2)
+        stream = page_source(spark, folder, RAW_SCHEMA)
         query = stream.writeStream.format("parquet").option("path", out).option(
             "checkpointLocation", str(tmp_path / "ck")
         ).trigger(availableNow=True).start()
@@ -242,8 +248,8 @@ def test_keyset_stream_resumes(spark, raw, tmp_path):
         got = spark.read.schema(RAW_SCHEMA).parquet(out)
         return sorted(r.unique_key for r in got.collect())
 
-    assert run() == [f"{i:04d}" for i in range(9)]
-    assert run() == [f"{i:04d}" for i in range(9)]
+    assert run() == [f"{i:04d}" for i in range(240)]
+    assert run() == [f"{i:04d}" for i in range(240)]
     assert spark.read.parquet(out).columns == RAW_FIELDS
 
 

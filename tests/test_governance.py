@@ -102,9 +102,10 @@ def edges(spark, *pairs):
 
 
 def test_closure_of_a_dag_and_a_cycle(spark):
-    dag = lineage.closure(edges(spark, ("a", "b"), ("b", "c"), ("a", "c"), ("c", "d"))).collect()
+    starts = spark.createDataFrame([("a",), ("b",), ("c",)], "asset_key string")
+    dag = lineage.closure(edges(spark, ("a", "b"), ("b", "c"), ("a", "c"), ("c", "d")), starts).collect()
     assert sorted(map(tuple, dag)) == [("a", "b", 1), ("a", "c", 1), ("a", "d", 2), ("b", "c", 1), ("b", "d", 2), ("c", "d", 1)]
-    loop = lineage.closure(edges(spark, ("a", "b"), ("b", "a"))).collect()
+    loop = lineage.closure(edges(spark, ("a", "b"), ("b", "a")), starts).collect()
     assert sorted((r.ancestor, r.descendant) for r in loop) == [("a", "a"), ("a", "b"), ("b", "a"), ("b", "b")]
 
 
@@ -115,6 +116,13 @@ def test_cyclic_core(spark):
     assert lineage.cyclic_core(edges(spark, ("a", "a"))).count() == 1
 
 
+def test_cycle_edges_leave_bridges_out(spark):
+    assert lineage.cycle_edges(edges(spark, ("a", "b"), ("b", "c"), ("a", "c"))).isEmpty()
+    bridged = [("a", "b"), ("b", "a"), ("b", "m"), ("m", "c"), ("c", "d"), ("d", "c"), ("d", "e"), ("z", "z"), ("z", "a")]
+    found = lineage.cycle_edges(edges(spark, *bridged)).collect()
+    assert sorted(map(tuple, found)) == [("a", "b"), ("b", "a"), ("c", "d"), ("d", "c"), ("z", "z")]
+
+
 def config(tmp_path, **changed):
     asset = {"layer": "l", "storage_type": "s", "physical_name": "p", "owner": "o"}
     body = {
@@ -137,6 +145,7 @@ def test_quality_run(spark, tickets, tmp_path):
 
     args = (detail, daily_summary(detail), detail, 2025)
     assert quality_run(found, *args, 1, str(tmp_path / "out")).first().status == "PASSED"
+    assert quality_run(found, *args, 1, str(tmp_path / "out")).first().status == "PASSED"
     more = tickets({}, {"unique_key": "2"})
     assert quality_run(found, more, daily_summary(more), more, 2025, 2, str(tmp_path / "out")).first().status == "FAILED"
     assert spark.read.parquet(str(tmp_path / "out" / "dq_result")).count() == 2

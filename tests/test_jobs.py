@@ -48,6 +48,14 @@ def test_states(spark, calls, status, attempts, version, rejected):
     assert (row.status, row.attempt_count, row.version_no, row.rejected_events) == (status, attempts, version, rejected)
 
 
+@pytest.mark.parametrize(("retries", "fails"), [(None, 3), (5, 6), (7, 8), (0, 1)])
+def test_own_number_of_retries(spark, retries, fails):
+    row = final(spark, ["submit"] + ["start", "fail"] * (fails - 1), retries=retries)
+    assert (row.status, row.attempt_count) == ("QUEUED", fails - 1)
+    row = final(spark, ["submit"] + ["start", "fail"] * (fails + 2), retries=retries)
+    assert (row.status, row.attempt_count) == ("FAILED", fails)
+
+
 def test_repeated_and_conflicting_submits(spark):
     row = final(spark, ["submit", "submit", "submit:other", "start"])
     assert (row.status, row.repeated_submits, row.conflicting_submits, row.release_key) == ("RUNNING", 1, 1, "r")
