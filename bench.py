@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deskmill.plans import catalog, warehouse
+from deskmill.plans import catalog, layers, warehouse
 from deskmill.session import build_session
 from deskmill.sources.sinks import import_delimited
 from deskmill.sources.store import TicketStore
@@ -67,6 +67,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()
     seconds = {}
+    # The stored layers that the serving queries read are built first, and timed apart.
+    began = time.perf_counter()
+    layers.build_all(spark, folder)
+    seconds["layers_build"] = round(time.perf_counter() - began, 3)
     for name in HEADLINES:
         began = time.perf_counter()
         catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()

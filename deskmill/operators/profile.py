@@ -43,6 +43,16 @@ def value_counts(df: DataFrame, column: str, n: int | None = None) -> DataFrame:
     return ordered.limit(n) if n else ordered
 
 
+def top_values(df: DataFrame, fields: Sequence[str], n: int) -> DataFrame:
+    """The ``n`` most frequent values of each field with a MISSING bucket, in one pass."""
+    shown = df.select(*[F.coalesce(F.col(f), F.lit("MISSING")).alias(f) for f in fields])
+    counts = shown.unpivot([], list(fields), "field", "value").groupBy("field", "value").agg(
+        F.count("*").alias("row_count")
+    )
+    order = Window.partitionBy("field").orderBy(F.desc("row_count"), "value")
+    return counts.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
+
+
 def missing_counts(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Null or empty values per field, in one pass."""
     totals = df.agg(*[count_where(is_blank(F.col(f"`{f}`"))).alias(f) for f in fields])

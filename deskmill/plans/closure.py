@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from deskmill.operators import closure_model as model
-from deskmill.plans import frames
+from deskmill.plans import layers
 from deskmill.plans.oracle import over_tickets
 from deskmill.sources.tables import table
 
@@ -16,7 +16,7 @@ SCOPE_END = "2001-06-01"
 
 
 def _labelled(spark: SparkSession, folder: str) -> DataFrame:
-    return model.labelled(frames.current(spark, folder), TRAIN_END, VALIDATION_END, SCOPE_END)
+    return model.labelled(layers.detail(spark, folder), TRAIN_END, VALIDATION_END, SCOPE_END)
 
 
 def closure_label(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,6 +15,7 @@ FIRST_END = "2000-01-01"
 SECOND_START = "1998-01-01"
 
 SCOPE_YEAR = 1998
+ACTIVE_RELEASE = 2
 AGE_REFERENCE = "2002-01-01"
 
 

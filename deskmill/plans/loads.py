@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from deskmill.functions.times import month_name, wall_clock
 from deskmill.operators import pages, release, versions
-from deskmill.plans import frames
+from deskmill.plans import frames, layers
 from deskmill.plans.oracle import over_runs, over_tickets
 from deskmill.sources.tables import table
 from deskmill.sources.tickets import raw_tickets
@@ -51,7 +51,7 @@ def upsert_current(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q7_changed_tickets(spark: SparkSession, folder: str) -> DataFrame:
-    counts = versions.repeated_keys(_history(spark, folder))
+    counts = versions.repeated_keys(layers.history(spark, folder))
     return counts.withColumnRenamed("row_count", "version_count")
 
 
@@ -72,7 +72,7 @@ def duplicate_key_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def load_gate(spark: SparkSession, folder: str) -> DataFrame:
     expected = table(spark, folder, "orders").agg(F.count("*")).scalar()
-    return release.load_gate(frames.current(spark, folder), _merged(spark, folder), expected)
+    return release.load_gate(layers.detail(spark, folder), _merged(spark, folder), expected)
 
 
 def _month() -> Column:
@@ -117,7 +117,7 @@ def pending_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 def release_activate(spark: SparkSession, folder: str) -> DataFrame:
     """A release per created year; the newest becomes active in place of the oldest."""
-    years = frames.current(spark, folder).groupBy(F.year("created_date").alias("y")).agg(F.count("*").alias("row_count"))
+    years = layers.detail(spark, folder).groupBy(F.year("created_date").alias("y")).agg(F.count("*").alias("row_count"))
     registry = years.select(
         (F.col("y") - 1994).cast("bigint").alias("release_id"),
         F.concat(F.lit("tickets-"), F.col("y").cast("string")).alias("release_key"),

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from deskmill.operators import marts, serving
 from deskmill.operators.governance import reconciliation_gaps as gaps
-from deskmill.operators.versions import upsert_current
-from deskmill.plans import frames
+from deskmill.plans import frames, layers
 from deskmill.plans.oracle import over_runs, over_tickets
 from deskmill.sources.tables import table
 
-ACTIVE = 2
+ACTIVE = frames.ACTIVE_RELEASE
 
 
 def _daily(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,17 +42,17 @@ def q3_daily_trend(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q3_daily_trend_ads(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _active(spark, _daily(spark, folder))
+    rows = _active(spark, layers.daily_status(spark, folder))
     return marts.resum(rows, "created_day").orderBy("created_day")
 
 
 def q4_top_complaints(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _active(spark, ads_complaint(spark, folder)).select("complaint_type", "ticket_count")
+    rows = _active(spark, layers.complaint_counts(spark, folder)).select("complaint_type", "ticket_count")
     return marts.top_by_count(rows, "complaint_type", 20)
 
 
 def q8_agency_borough(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _active(spark, ads_agency_status(spark, folder))
+    rows = _active(spark, layers.agency_status(spark, folder))
     return rows.select("agency", "borough", "status", "ticket_count").orderBy(
         F.desc("ticket_count"), "agency", "borough", "status"
     )
@@ -61,14 +60,11 @@ def q8_agency_borough(spark: SparkSession, folder: str) -> DataFrame:
 
 def active_release_scope(spark: SparkSession, folder: str) -> DataFrame:
     """Serving rows of two releases, of which only the active one is shown."""
-    before = frames.first_current(spark, folder)
-    after = upsert_current(before, frames.second_run(spark, folder), F.lit(2).cast("bigint"))
-    both = marts.daily_status(before, F.lit(1)).unionByName(marts.daily_status(after, F.lit(2)))
-    return _active(spark, both)
+    return _active(spark, layers.daily_status_of_runs(spark, folder))
 
 
 def monthly_totals(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _active(spark, _daily(spark, folder))
+    rows = _active(spark, layers.daily_status(spark, folder))
     return marts.resum(rows, F.month("created_day").cast("bigint").alias("month")).orderBy("month")
 
 
@@ -77,7 +73,7 @@ def monthly_relative(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def status_share(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _active(spark, _daily(spark, folder))
+    rows = _active(spark, layers.daily_status(spark, folder))
     return marts.with_share(marts.resum(rows, "status"))
 
 
@@ -89,12 +85,12 @@ def detail_vs_ads_equal(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q1_point_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    now, keys = frames.current(spark, folder), frames.valid(spark, folder)
-    return serving.smallest_key_lookup(now, keys).select("unique_key", "status", "agency")
+    now = layers.detail(spark, folder)
+    return serving.smallest_key_lookup(now, now).select("unique_key", "status", "agency")
 
 
 def q2_cursor_page(spark: SparkSession, folder: str) -> DataFrame:
-    rows = frames.current(spark, folder).filter(
+    rows = layers.detail(spark, folder).filter(
         (F.col("agency") == "BUILDING") & (F.upper("status") == "OPEN")
     )
     page = serving.newest_first_page(rows.filter(serving.before_cursor("2001-01-01", "999999999")), 100)
@@ -102,16 +98,16 @@ def q2_cursor_page(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q5_closed_duration(spark: SparkSession, folder: str) -> DataFrame:
-    return serving.mean_close_seconds(frames.current(spark, folder))
+    return serving.mean_close_seconds(layers.detail(spark, folder))
 
 
 def q6_active_age(spark: SparkSession, folder: str) -> DataFrame:
-    return serving.active_age(frames.current(spark, folder), frames.AGE_REFERENCE)
+    return serving.active_age(layers.detail(spark, folder), frames.AGE_REFERENCE)
 
 
 def agency_status_range_count(spark: SparkSession, folder: str) -> DataFrame:
     return serving.count_in_range(
-        frames.current(spark, folder), "MACHINERY", "Open", "1998-01-01", "1999-01-01"
+        layers.detail(spark, folder), "MACHINERY", "Open", "1998-01-01", "1999-01-01"
     )
 
 
