@@ -160,11 +160,11 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     names = docs.columns
     kept = stored(docs.withColumns({"_row": F.monotonically_increasing_id(), "_size": n_words(F.col("text"))}))
     sized = kept.select("_row", "doc_id", "source", F.col("_size").alias("size"))
-    plan = plan_mix(sized, block, seed=seed)[0].filter("taken > 0").select("_row", "takes")
+    plan = plan_mix(sized, block, seed=seed)[0].filter("taken > 0").select("_row", F.col("takes").alias("_takes"))
     copies = kept.join(plan, "_row").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.array_max(F.col("takes.times"))))
+        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.array_max(F.col("_takes.times"))))
     )
-    parts = F.filter("takes", lambda t: t["times"] >= F.col("_copy"))
+    parts = F.filter("_takes", lambda t: t["times"] >= F.col("_copy"))
     words = F.aggregate(parts, F.lit(0).cast("bigint"), lambda n, t: n + t["hi"] - t["lo"])
     units = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
     cut = let(

@@ -88,11 +88,11 @@ def statistics(text: Column) -> dict[str, Column]:
 # Transformed statistics: expression, and the least spread that each is granted. Most texts
 # have no symbols or repeats at all; without it a single one would be infinitely far out.
 FEATURES = {
-    "length": ("ln(1 + n_words)", 0.25),
-    "word_length": ("word_chars / _n", 0.10),
-    "symbols": ("ln(1 + n_symbols / _n)", 0.02),
-    "dup_lines": ("ln(1 + 100 * n_dup_lines / _n)", 0.30),
-    "repeats": ("sqrt(n_repeat_words / _n)", 0.15),
+    "_length": ("ln(1 + n_words)", 0.25),
+    "_word_length": ("word_chars / _n", 0.10),
+    "_symbols": ("ln(1 + n_symbols / _n)", 0.02),
+    "_dup_lines": ("ln(1 + 100 * n_dup_lines / _n)", 0.30),
+    "_repeats": ("sqrt(n_repeat_words / _n)", 0.15),
 }
 CORE = 0.75  # part of a group that must lie close together
 STEPS = 5
@@ -147,7 +147,7 @@ def _distances(rows: DataFrame, shape: DataFrame, names: Sequence[str]) -> DataF
             value = value - F.col(f"l_{a}_{b}") * F.col(f"_y_{b}")
         joined = joined.withColumn(f"_y_{a}", value / F.col(f"l_{a}_{a}"))
     squares = [F.col(f"_y_{a}") * F.col(f"_y_{a}") for a in names]
-    return joined.select(*rows.columns, sum(squares[1:], squares[0]).alias("_d"))
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], sum(squares[1:], squares[0]).alias("_d"))
 
 
 def outlier_distances(rows: DataFrame) -> DataFrame:

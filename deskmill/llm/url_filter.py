@@ -99,10 +99,11 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     decision at all allows.
     """
     pages = without(pages, "host", "path", "rule", "verdict", "alias_of")
-    urls = pages.select("url").filter("url IS NOT NULL").distinct()
-    links = page_links(pages).unionByName(usual_redirects(urls))
+    links = page_links(pages)
     if redirects is not None:
         links = links.unionByName(redirects.select("a", "b"))
+    urls = pages.select("url").unionByName(links.select(F.col("b").alias("url")))
+    links = links.unionByName(usual_redirects(urls.filter("url IS NOT NULL").distinct()))
     alias = stored(components(links))
     _, host, path = parts(F.col("node"))
     told = longest_rule(host, path, rules)["verdict"]
@@ -113,7 +114,9 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
         .filter("_allow OR _block")
         .select("component", F.when(F.col("_allow"), "allow").otherwise("block").alias("_shared"))
     )
-    shared = alias.join(decided, "component", "left").select(F.col("node").alias("_url"), "component", "_shared")
+    shared = alias.join(decided, "component", "left").select(
+        F.col("node").alias("_url"), F.col("component").alias("_root"), "_shared"
+    )
     _, host, path = parts(F.col("url"))
     judged = pages.withColumns({"host": host, "path": path}).withColumn(
         "_own", longest_rule(F.col("host"), F.col("path"), rules)
@@ -125,7 +128,7 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
         "path",
         F.col("_own.rule").alias("rule"),
         F.coalesce(F.col("_own.verdict"), F.col("_shared"), F.lit("allow")).alias("verdict"),
-        F.coalesce("component", "url").alias("alias_of"),
+        F.coalesce("_root", "url").alias("alias_of"),
     )
 
 
