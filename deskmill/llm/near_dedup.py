@@ -12,13 +12,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from deskmill.llm.common import stored, table
 from deskmill.llm.graph import components
 
 WORDS = 5
 BANDS, ROWS = 40, 5  # at 0.75 a link is missed with 2 in 100,000, at 0.8 with 1 in 10 million
+BITS = 256  # signature values of which one bit each is compared before the full sets
+MARKS = ["s0", "s1", "s2", "s3"]
 SEED = 20_26
 
 
@@ -53,29 +55,35 @@ def signature(hashes: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np
 
 
 def _sketches(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """Per document: set size, digest of the set, and one bucket number per band."""
-    half = -(-bands * rows // 2)
+    """Per document: set size, digest of the set, one bucket number per band, and a bit of
+    each signature value in four numbers."""
+    half = -(-max(bands * rows, BITS) // 2)
     numbers = np.random.default_rng(SEED)
     factors = numbers.integers(0, 2**31, half, np.uint32) * np.uint32(2) + np.uint32(1)
     shifts = numbers.integers(0, 2**32, half, np.uint32)
     mixers = numbers.integers(0, 2**63, rows, np.uint64) * np.uint64(2) + np.uint64(1)
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))]
-    )
+        [("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())),
+         *((name, pa.int64()) for name in MARKS)]
+    )
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         number = np.arange(bands, dtype=np.uint64)
         for batch in batches:
-            sizes, digests, buckets = [], [], []
+            sizes, digests, buckets, marks = [], [], [], []
             for text in batch.column("text").cast(pa.large_binary()).to_pylist():
                 hashes = shingles(text, known)
                 sizes.append(len(hashes))
                 digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                 if not len(hashes):
                     buckets.append([])
+                    marks.append(np.zeros(len(MARKS), np.int64))
                     continue
-                values = signature(hashes, factors, shifts)[: bands * rows].astype(np.uint64)
+                values = signature(hashes, factors, shifts)
+                bits = values[:BITS] * np.uint32(0x9E3779B1) >> np.uint32(31)
+                marks.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
+                values = values[: bands * rows].astype(np.uint64)
                 key = number
                 for r in range(rows):
                     key = (key ^ values[r::rows]) * mixers[r]
@@ -83,31 +91,71 @@ def _sketches(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 buckets.append(key.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(buckets, pa.list_(pa.int64()))], schema=schema
+                 pa.array(buckets, pa.list_(pa.int64())), *map(pa.array, np.reshape(marks, (-1, len(MARKS))).T)],
+                schema=schema,
             )
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        sketch, "doc_id bigint, n bigint, digest binary, bands array<bigint>"
+        sketch, "doc_id bigint, n bigint, digest binary, bands array<bigint>, " + ", ".join(f"{m} bigint" for m in MARKS)
     )
 
 
-def _full_sets(docs: DataFrame) -> DataFrame:
+def _alike(x: str, y: str, percent: int) -> Column:
+    """Whether so few signature bits differ that the sets can be alike.
+
+    A bit differs with half the distance of the sets; the limit lies 5.5 standard
+    deviations above the mean of the least alike pairs wanted: 2 in 100 million are lost.
+    """
+    p = (100 - percent) / 200
+    limit = BITS * p + 5.5 * (BITS * p * (1 - p)) ** 0.5
+    differing = [F.bit_count(F.col(f"{x}.{m}").bitwiseXOR(F.col(f"{y}.{m}"))) for m in MARKS]
+    return sum(differing[1:], differing[0]) <= int(limit)
+
+
+def _id_filter(ids: DataFrame, most: int = 1 << 27) -> np.ndarray:
+    """Bloom filter over ``h``, a 64-bit hash of each id; at most ``most`` bits."""
+    bits = 1 << 16
+    while bits < min(most, 16 * ids.count()):
+        bits *= 2
+    both = F.array(*[F.shiftrightunsigned("h", k).bitwiseAND(F.lit(bits - 1)) for k in (0, 32)])
+    words = (
+        ids.select(F.explode(both).alias("p"))
+        .groupBy(F.shiftright("p", 6).alias("w"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("m"))
+    )
+    found = np.zeros(bits // 64, np.int64)
+    for row in words.toLocalIterator():
+        found[row.w] = row.m
+    return found.view(np.uint64)
+
+
+def _full_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``node``, ``hashes``: the full sets of the documents in ``pairs`` (and of the few
+    that the filter takes for one of them, which no later join finds).
+
+    The texts stay where they are read; only sets travel. The filter is bounded: with more
+    documents in pairs than it suits, more sets travel.
+    """
+    hashed = F.xxhash64("node").alias("h")
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    shown = docs.sparkSession.sparkContext.broadcast(_id_filter(ends.distinct().select(hashed)))
+
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for batch in batches:
+            h = batch.column("h").to_numpy().view(np.uint64)
+            wanted = np.ones(len(h), np.bool_)
+            for shift in (0, 32):
+                p = (h >> np.uint64(shift)) & np.uint64(64 * len(shown.value) - 1)
+                wanted &= (shown.value[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)) > 0
+            batch = batch.filter(pa.array(wanted))
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("node"), pa.array([shingles(t, known).tobytes() for t in texts], pa.binary())],
                 names=["node", "hashes"],
             )
 
-    return docs.mapInArrow(full, "node bigint, hashes binary")
-
-
-def _of(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the documents in the pairs."""
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    return texts.join(ends.distinct(), "node", "left_semi")
+    return docs.select("node", "text", hashed).mapInArrow(full, "node bigint, hashes binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -133,11 +181,12 @@ def near_dedup(docs: DataFrame, percent: int = 75, bands: int = BANDS, rows: int
     """Per document of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     1. Equal sets are one class, named by its smallest doc_id; only classes go on.
-    2. Every class in a bucket is paired with the bucket's smallest class, and the pairs
-       are confirmed on the full sets. Confirmed links give first components.
-    3. Where a bucket still holds several components, its classes are paired across the
-       components, so that no link hides behind the smallest class. Groups of true copies
-       are one component by then and give no pairs.
+    2. Every class is paired with one class, of the smallest ones in its buckets the one that
+       it meets most often. Pairs whose sizes and signature bits allow it are confirmed on
+       the full sets; the confirmed links give first components.
+    3. Where a bucket still holds several components, its classes are compared across the
+       components by size and bits, so that no link hides behind the smallest class; what
+       passes is confirmed. Groups of true copies are one component by then.
     4. All confirmed links together give the components.
 
     Defined cases: a null, empty or blank text has no shingles and is linked with nothing;
@@ -149,9 +198,10 @@ def near_dedup(docs: DataFrame, percent: int = 75, bands: int = BANDS, rows: int
     classes = stored(
         sketches.filter("n > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "n", "bands")).alias("c"))
-        .select("digest", F.col("c.doc_id").alias("node"), F.col("c.n").alias("n"), F.col("c.bands").alias("bands"))
+        .agg(F.min(F.struct("doc_id", "n", "bands", *MARKS)).alias("c"))
+        .select("digest", F.col("c.doc_id").alias("node"), *[F.col(f"c.{c}").alias(c) for c in ("n", "bands", *MARKS)])
     )
+    marks = classes.select("node", *MARKS)
     members = classes.select("node", "n", F.explode("bands").alias("bucket"))
 
     def sizes_fit(x: str, y: str):
@@ -164,11 +214,18 @@ def near_dedup(docs: DataFrame, percent: int = 75, bands: int = BANDS, rows: int
         .select("bucket", F.col("first.node").alias("a"), F.col("first.n").alias("na"))
     )
     crowded = stored(members.join(buckets, "bucket"))
+    # Of all smallest classes that a class meets, the one that it meets in most bands.
+    met = crowded.filter(sizes_fit("n", "na")).filter("node > a").groupBy("node", "a").agg(F.count("*").alias("times"))
+    best = met.groupBy("node").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a"))
     pairs = stored(
-        crowded.filter(sizes_fit("n", "na")).filter("node > a").select("a", F.col("node").alias("b")).distinct()
+        best.select("a", F.col("node").alias("b"))
+        .join(marks.alias("x"), F.col("a") == F.col("x.node"))
+        .join(marks.alias("y"), F.col("b") == F.col("y.node"))
+        .filter(_alike("x", "y", percent))
+        .select("a", "b")
     )
     texts = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("node"), "text")
-    links = stored(_confirmed(pairs, _full_sets(_of(texts, pairs)), percent))
+    links = stored(_confirmed(pairs, _full_sets(texts, pairs), percent))
 
     found = components(links)
     named = stored(
@@ -177,19 +234,20 @@ def near_dedup(docs: DataFrame, percent: int = 75, bands: int = BANDS, rows: int
     split = (
         named.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("bucket")
     )
-    open_ = stored(named.join(split, "bucket"))
+    open_ = stored(named.join(split, "bucket").join(marks, "node"))
     x, y = open_.alias("x"), open_.alias("y")
     across = (
         x.join(y, F.col("x.bucket") == F.col("y.bucket"))
         .filter(F.col("x.c") < F.col("y.c"))
         .filter(sizes_fit("x.n", "y.n"))
+        .filter(_alike("x", "y", percent))
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
         .distinct()
         .join(pairs, ["a", "b"], "left_anti")
     )
     across = stored(across)
     if not across.isEmpty():
-        more = stored(_confirmed(across, _full_sets(_of(texts, across)), percent))
+        more = stored(_confirmed(across, _full_sets(texts, across), percent))
         if not more.isEmpty():
             found = components(links.unionByName(more))
 
