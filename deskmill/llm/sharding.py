@@ -59,22 +59,18 @@ def external_shuffle(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bu
     ).withColumn("bucket", (F.col("shard") * per_shard + inside).cast("bigint"))
     names = [*docs.columns, "shard", "bucket", "grown_shard"]
 
-    def shuffle(rows: pa.Table) -> pa.Table:
-        bucket = rows["bucket"][0].as_py()
-        fixed = rows.sort_by([("doc_id", "ascending"), ("_text_hash", "ascending")])
-        drawn = fixed.take(pa.array(fisher_yates(len(fixed), seed, bucket))).select(names)
-        return drawn.append_column("_place", pa.array(np.arange(len(fixed))))
-
-    schema = marked.select(*[F.col(f"`{n}`") for n in names]).withColumn("_place", F.lit(0).cast("bigint")).schema
-    shuffled = marked.groupBy("bucket").applyInArrow(shuffle, schema)
     counts = marked.groupBy("shard", "bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col("bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return (
-        shuffled.join(starts, F.col("bucket") == F.col("_b"))
-        .withColumn("slot", F.col("_start") + F.col("_place"))
-        .select(*[F.col(f"`{n}`") for n in names], "slot")
-    )
+    starts = counts.select("bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+
+    def shuffle(rows: pa.Table, start: pa.Table) -> pa.Table:
+        fixed = rows.sort_by([("doc_id", "ascending"), ("_text_hash", "ascending")])
+        drawn = fixed.take(pa.array(fisher_yates(len(fixed), seed, start["bucket"][0].as_py()))).select(names)
+        return drawn.append_column("slot", pa.array(start["_start"][0].as_py() + np.arange(len(fixed))))
+
+    schema = marked.select(*[F.col(f"`{n}`") for n in names]).withColumn("slot", F.lit(0).cast("bigint")).schema
+    # The start of a bucket meets its rows in the same shuffle, so that texts move once.
+    return marked.groupBy("bucket").cogroup(starts.groupBy("bucket")).applyInArrow(shuffle, schema)
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:
