@@ -96,26 +96,33 @@ FEATURES = {
 }
 CORE = 0.75  # part of a group that must lie close together
 STEPS = 5
-LEAST_ROWS = 60  # of a group with estimates of its own
+LEAST_ROWS = 60  # passing rows of a group with estimates of its own
 CUTOFF = 64.0  # squared distance; five normal values exceed it less than once in 100 billion rows
 # Fixed value: five normal values inside their closest 75 % vary less, by this factor.
 CONSISTENCY = 1.41
 
 
 def _groups(rows: DataFrame) -> DataFrame:
-    """``_g``: language and source, or the language, or all, where that has too few rows."""
-    def count(*keys: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    """Per language and source: ``_g``, the level whose estimate its rows read, and
+    ``_levels``, all levels whose estimates they enter.
 
-    pairs = stored(count("lang", "source"))
-    langs = pairs.groupBy("lang").agg(F.sum("_rows").alias("_in_lang"))
+    A level is the pair, its language, or all; a row reads the first that has enough passing
+    rows, and enters each of its levels that any row reads.
+    """
+    passing = F.count_if(~F.col("base_failed"))
+    pairs = stored(rows.groupBy("lang", "source").agg(passing.alias("_rows")))
+    langs = stored(pairs.groupBy("lang").agg(F.sum("_rows").alias("_in_lang"), F.min("_rows").alias("_least")))
+    rest = not langs.filter(F.col("_in_lang") < LEAST_ROWS).isEmpty()
     named = pairs.join(langs.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l")))
-    name = (
-        F.when(F.col("_rows") >= LEAST_ROWS, F.to_json(F.array("lang", "source")))
-        .when(F.col("_in_lang") >= LEAST_ROWS, F.to_json(F.array("lang")))
-        .otherwise(F.lit("all"))
+    own, in_lang = F.col("_rows") >= LEAST_ROWS, F.col("_in_lang") >= LEAST_ROWS
+    pair, lang, every = F.to_json(F.array("lang", "source")), F.to_json(F.array("lang")), F.lit("all")
+    levels = F.array(F.when(own, pair), F.when(in_lang & (F.col("_least") < LEAST_ROWS), lang), F.when(F.lit(rest), every))
+    return named.select(
+        F.col("lang").alias("_l"),
+        F.col("source").alias("_s"),
+        F.when(own, pair).when(in_lang, lang).otherwise(every).alias("_g"),
+        F.array_compact(levels).alias("_levels"),
     )
-    return named.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), name.alias("_g"))
 
 
 def _factor(moments: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -155,18 +162,19 @@ def outlier_distances(rows: DataFrame) -> DataFrame:
 
     A group starts from medians and median deviations. Each step takes the closest
     three quarters of the group as its core and measures again from the core's mean and
-    covariance; rows that failed the base rules have no say. Groups are only summed, and
+    covariance; rows that failed the base rules have no say. A language, and all, are
+    measured from every row in them, those of large sources too. Groups are only summed, and
     sums are formed before the shuffle, so a group may hold any part of the rows.
     """
     names = list(FEATURES)
-    of = _groups(rows.filter("NOT base_failed"))
+    of = _groups(rows)
     every = rows.withColumn("_n", F.greatest("n_words", F.lit(1)))
     every = every.withColumns({a: F.expr(x).cast("double") for a, (x, _) in FEATURES.items()}).drop("_n")
     same = F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))
     every = stored(every.join(of, same, "left").drop("_l", "_s"))
-    fit = every.filter("NOT base_failed").select("_g", *names)
+    fit = every.filter("NOT base_failed").select(F.explode("_levels").alias("_g"), *names)
 
-    middle = fit.groupBy("_g").agg(*[F.percentile_approx(a, 0.5).alias(f"m_{a}") for a in names])
+    middle = stored(fit.groupBy("_g").agg(*[F.percentile_approx(a, 0.5).alias(f"m_{a}") for a in names]))
     apart = fit.join(middle, "_g").groupBy("_g").agg(
         *[F.max(f"m_{a}").alias(f"m_{a}") for a in names],
         *[F.percentile_approx(F.abs(F.col(a) - F.col(f"m_{a}")), 0.5).alias(f"v_{a}") for a in names],
@@ -191,7 +199,7 @@ def outlier_distances(rows: DataFrame) -> DataFrame:
                 names,
             )
         )
-    return _distances(every, shape, names).drop(*names, "_g")
+    return _distances(every, shape, names).drop(*names, "_g", "_levels")
 
 
 def quality_rules(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:

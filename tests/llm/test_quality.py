@@ -77,6 +77,26 @@ def test_special_rows(docs):
     assert m.quality_rules(docs((1, "a")).limit(0)).count() == 0
 
 
+def test_small_groups_are_judged_by_their_language_and_by_all(docs):
+    """Single junk rows in sources and languages of their own have nobody like them."""
+    rows = [r for r in corpus() if r[0] < 600]
+    junk = [r for r in corpus() if r[0] >= 600]
+    tail = [(700, junk[0][1], junk[0][2], "tail"), (701, junk[1][1], junk[1][2], "other"), (702, junk[2][1], "fr", "tail")]
+    fair = [(800, rows[0][1], rows[0][2], "fair"), (801, rows[1][1], "it", "fair")]
+    big = [(i, text, lang, "big") for i, text, lang, _ in rows]
+    got = {r.doc_id: r for r in m.quality_rules(docs(*big, *tail, *fair)).collect()}
+    assert [got[i].kept for i in (700, 701, 702, 800, 801)] == [False, False, False, True, True]
+    assert all(got[i].distance > m.CUTOFF for i in (700, 701, 702))
+
+
+def test_language_estimate_holds_the_rows_of_its_large_sources(docs):
+    """A document of a tail source has the distance that it has if sources are left out."""
+    rows = [(i, text, "en", "big") for i, text, *_ in corpus() if i < 200]
+    alone = {r.doc_id: r.distance for r in m.quality_rules(docs(*rows, (900, rows[7][1], "en", "big"))).collect()}
+    split = {r.doc_id: r.distance for r in m.quality_rules(docs(*rows, (900, rows[7][1], "en", "tail"))).collect()}
+    assert abs(alone[900] - split[900]) < 1e-6 and split[900] > 0
+
+
 def test_distance_is_mahalanobis(spark):
     """With the core taken as given, the factor gives the same distances as a matrix inverse."""
     names = list(m.FEATURES)
