@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from deskmill.llm.common import stored, table, without
+from deskmill.llm.common import let, stored, table, without
 from deskmill.llm.graph import components
 
 # --- fixed values: rules of the registered query (verdict, host, path) ----------------
@@ -47,22 +47,60 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
     return found
 
 
-def _absolute(link: Column, scheme: Column, host: Column) -> Column:
-    """A link target as a URL; targets relative to a folder are left out (null)."""
+def _folded(path: Column) -> Column:
+    """A path that starts with a slash, without ``.`` and ``..`` steps."""
+
+    def walk(steps: Column) -> Column:
+        folded = F.aggregate(
+            steps,
+            F.array().cast("array<string>"),
+            lambda done, x: F.when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+            .when(x == ".", done)
+            .otherwise(F.concat(done, F.array(x))),
+        )
+        end = F.when(F.element_at(steps, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+        return F.concat(F.lit("/"), F.array_join(F.concat(folded, end), "/"))
+
+    return let(F.slice(F.split(path, "/", -1), 2, 1 << 30), walk)
+
+
+def _absolute(link: Column, base: Column) -> Column:
+    """A link target as a URL; null for a base without ``://`` and targets like ``mailto:``."""
+    return let(F.struct(link.alias("link"), base.alias("base")), lambda x: _resolved(x["link"], x["base"]))
+
+
+def _resolved(link: Column, base: Column) -> Column:
+    scheme, host, path = parts(base)
+    query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
+    site = F.concat(scheme, F.lit("://"), host)
+    to, more = F.regexp_extract(link, r"^[^?#]*", 0), F.regexp_extract(link, r"^[^?#]*(.*)", 1)
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"^.*/", 0))
     return (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), link)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:") | (scheme == ""), None)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(scheme, F.lit("://"), host, link))
+        .when(link.startswith("/"), F.concat(site, _folded(to), more))
+        .when(link.startswith("?"), F.concat(site, path, link))
+        .when(link.startswith("#"), F.concat(site, path, query, link))
+        .otherwise(F.concat(site, _folded(F.concat(folder, to)), more))
     )
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """``a``, ``b``: from the URL to the canonical link and the refresh target of its page."""
-    scheme, host, _ = parts(F.col("url"))
+    """``a``, ``b``: from the URL to the canonical link and the refresh target of its page.
+
+    Relative targets start from the page's URL, or from its ``base`` tag.
+    """
+    own = F.regexp_extract("html", r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    base = F.coalesce(F.when(F.length(own) > 0, _absolute(F.regexp_replace(own, "&amp;", "&"), F.col("url"))), F.col("url"))
     tags = pages.filter("url IS NOT NULL AND (html ILIKE '%canonical%' OR html ILIKE '%refresh%')").select(
-        "url", F.explode(F.regexp_extract_all("html", F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))).alias("tag")
+        "url",
+        base.alias("_base"),
+        F.explode(F.regexp_extract_all("html", F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))).alias("tag"),
     )
-    canonical = F.col("tag").rlike(r"(?is)^<link\b.*\brel\s*=\s*[\"']?canonical\b")
+    # Canonical may be any of the words of rel.
+    words = [rf"{q}(?:[^{q}]*\s)?canonical(?:\s[^{q}]*)?{q}" for q in "\"'"]
+    canonical = F.col("tag").rlike(rf"(?is)^<link\b.*[\s\"'/]rel\s*=\s*(?:{words[0]}|{words[1]}|canonical[\s/>])")
     refresh = F.col("tag").rlike(r"(?is)^<meta\b.*\bhttp-equiv\s*=\s*[\"']?refresh\b")
     target = F.when(canonical, F.regexp_extract("tag", r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)).when(
         refresh, F.regexp_extract("tag", r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
@@ -70,7 +108,7 @@ def page_links(pages: DataFrame) -> DataFrame:
     return (
         tags.withColumn("_to", F.regexp_replace(target, "&amp;", "&"))
         .filter(F.length("_to") > 0)
-        .select(F.col("url").alias("a"), _absolute(F.col("_to"), scheme, host).alias("b"))
+        .select(F.col("url").alias("a"), _absolute(F.col("_to"), F.col("_base")).alias("b"))
         .filter("b IS NOT NULL")
     )
 

@@ -62,3 +62,21 @@ def test_known_redirects_repeats_and_clashes(spark):
     assert sorted((r.page_id, r.verdict, r.node) for r in got if r.page_id) == [(1, "block", "mine")] * 2
     assert [r.verdict for r in got if r.page_id is None] == ["allow"]
     assert m.url_filter(frame.limit(0)).count() == 0
+
+
+def test_relative_targets_and_words_of_rel(spark):
+    def links(url, *hrefs, rel="'alternate canonical'", head=""):
+        tags = "".join(f'<link rel={rel} href="{h}">' for h in hrefs)
+        return [r.b for r in m.page_links(spark.createDataFrame([(url, head + tags)], "url string, html string")).collect()]
+
+    base = "http://H.test/a/b/c?q=1#f"
+    assert links(base, "page2.html", "../x", "?p=1&amp;r=2", "#top", "./", "../../../y/.", "/u/../v", "..", "mailto:a@b") == [
+        "http://h.test/a/b/page2.html", "http://h.test/a/x", "http://h.test/a/b/c?p=1&r=2", "http://h.test/a/b/c?q=1#top",
+        "http://h.test/a/b/", "http://h.test/y/", "http://h.test/v", "http://h.test/a/",
+    ]
+    assert links("http://h.test", "x") == ["http://h.test/x"] and links("no scheme", "x", "/y") == []
+    assert links(base, "x", head='<base href="/other/">') == ["http://h.test/other/x"]
+    assert links(base, "x", rel="canonical") == links(base, "x", rel='"canonical nofollow"') == ["http://h.test/a/b/x"]
+    assert links(base, "x", rel="non-canonical") == []
+    got = judged(spark, ("https://g.test/d/1", "<link rel='alternate canonical' href='2'>"), ("https://g.test/d/2", "<link rel=canonical href='//bad.net/'>"))
+    assert {v[3] for v in got.values()} == {"block"}
