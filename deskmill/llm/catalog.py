@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from deskmill.llm import (
-    line_dedup, mixing, near_dedup, nearest, packing, quality, sharding, token_counts, toxicity, url_filter,
+    centroids, line_dedup, mixing, near_dedup, nearest, packing, quality, sharding, token_counts, toxicity, url_filter,
 )
 
 _MODULES = [
-    token_counts, near_dedup, sharding, url_filter, nearest, packing, line_dedup, mixing, quality, toxicity,
+    token_counts, near_dedup, sharding, url_filter, nearest, packing, line_dedup, mixing, quality, toxicity, centroids,
 ]
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
