@@ -174,19 +174,23 @@ def centroid_clusters(
 
     assigned = stored(kept.mapInArrow(assign, "vec_id bigint, cluster int, distance bigint"))
     exact = F.when(F.count("distance") == F.count("*"), F.sum(F.col("distance").cast("decimal(38,0)")))
-    own = assigned.groupBy("cluster").agg(exact.alias("_own"))
-    every = assigned.agg(exact.alias("_all"))
-    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
-    named = vectors.sparkSession.createDataFrame(list(enumerate(digests)), "cluster int, centroid_sha256 string")
-    # One row per cluster and one row in all.
-    return (
-        assigned.join(F.broadcast(own), "cluster")
-        .join(F.broadcast(named), "cluster")
-        .join(F.broadcast(every))
-        .select(
-            "vec_id", "cluster", "distance", F.expr("try_cast(_own AS bigint)").alias("cluster_inertia"),
-            F.expr("try_cast(_all AS bigint)").alias("inertia"), "centroid_sha256",
-        )
+    sums = {r.cluster: r.total for r in assigned.groupBy("cluster").agg(exact.alias("total")).collect()}
+
+    def held(total) -> int | None:
+        return int(total) if total is not None and total < 2**63 else None
+
+    every = held(sum(sums.values())) if None not in sums.values() else None
+    ends = [
+        (c, held(sums[c]), every, hashlib.sha256(",".join(map(str, centre)).encode()).hexdigest())
+        for c, centre in enumerate(centroids)
+        if c in sums
+    ]
+    named = vectors.sparkSession.createDataFrame(
+        ends, "cluster int, cluster_inertia bigint, inertia bigint, centroid_sha256 string"
+    )
+    # One row per cluster.
+    return assigned.join(F.broadcast(named), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
     )
 
 
