@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from deskmill.llm import (
-    alignment, centroids, line_dedup, mixing, near_dedup, nearest, packing, quality, sharding, token_counts, toxicity, url_filter,
+    alignment, centroids, lattice, line_dedup, mixing, near_dedup, nearest, packing, quality, sharding, token_counts, toxicity, url_filter,
 )
 
 _MODULES = [
-    token_counts, near_dedup, sharding, url_filter, nearest, packing, line_dedup, mixing, quality, toxicity, alignment, centroids,
+    token_counts, near_dedup, sharding, url_filter, nearest, packing, line_dedup, mixing, quality, toxicity,
+    lattice, alignment, centroids,
 ]
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
