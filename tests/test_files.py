@@ -17,6 +17,7 @@ from deskmill.schema import LOCAL_ZONE, RAW_FIELDS, RAW_SCHEMA
 from deskmill.sources import sinks
 from deskmill.sources.raw import file_statistics
 from deskmill.sources.sinks import import_delimited
+from deskmill.sources.commit_log import CommitLog, ConcurrentCommit
 from deskmill.sources.store import TicketStore
 from deskmill.sources.tickets import raw_tickets
 from deskmill.streaming.keyset import page_source, write_pages
@@ -156,7 +157,7 @@ def test_same_chunk_again_adds_nothing(store, tickets):
 def test_crash_before_the_ledger_is_invisible(store, tickets, monkeypatch):
     rows = staged(tickets({}), "c1")
     with monkeypatch.context() as patch:
-        patch.setattr(TicketStore, "_point", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        patch.setattr(CommitLog, "append", lambda *a: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             store.load(rows, 1)
     assert (store.current().count(), store.history().count(), store.ledger().count()) == (0, 0, 0)
@@ -164,18 +165,121 @@ def test_crash_before_the_ledger_is_invisible(store, tickets, monkeypatch):
     assert (store.current().count(), store.history().count(), store.ledger().count()) == (1, 1, 1)
 
 
-def test_stored_rows_are_not_shuffled_for_a_load(spark, store, tickets):
+def files_of(store):
+    return {f.split("/current/")[1] for f in store.current().inputFiles()}
+
+
+def test_one_key_rewrites_one_bucket(spark, store, tickets, monkeypatch):
+    many = staged(tickets(*[{"unique_key": str(i)} for i in range(40)]), "c1")
+    store.load(many, 1)
+    before = files_of(store)
+    assert len(before) == 4
+    again = TicketStore(spark, store.root)  # a session that finds the files only
+    read = []
+    of = TicketStore._current_of
+    monkeypatch.setattr(TicketStore, "_current_of", lambda *a: read.append(of(*a)) or read[-1])
+    assert again.load(staged(tickets({"unique_key": "2", "status": "Closed"}), "c2"), 1) == 1
+    assert len(read[0].inputFiles()) == 1
+    after = files_of(again)
+    assert len(after) == 4 and len(after - before) == 1
+    assert {r.unique_key for r in again.current().filter("status = 'Closed'").collect()} == {"2"}
+    assert (again.current().count(), again.history().count()) == (40, 41)
+    gone, = again.unused()
+    assert gone.split("/current/")[1] == next(iter(before - after)).rsplit("/", 1)[0]
+
+
+def test_a_load_shuffles_each_side_once(store, tickets):
     store.load(staged(tickets({}, {"unique_key": "2"}), "c1"), 1)
     rows = staged(tickets({"unique_key": "2", "status": "Closed"}), "c2")
-    # A session that finds the files only gets the same buckets.
-    spark.sql(f"DROP TABLE {store._table_name(store._visible('ledger').place)}")
-    again = TicketStore(spark, store.root)
-    before = again.current()
-    classified = loading.classify_chunks(rows, before)
+    before = store.current().repartition(4, "unique_key")
+    classified = loading.classify_chunks(rows.repartition(4, "unique_key"), before)
     plan = loading.merged_current(classified, before, F.lit(2))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Bucketed: true") == 2
-    assert again.load(rows, 2) == 1
-    assert {r.unique_key: r.status for r in again.current().collect()} == {"1": "Open", "2": "Closed"}
+    assert plan.count("Exchange hashpartitioning") == plan.count("REPARTITION_BY_NUM")
+
+
+# --- concurrent writers and runs ----------------------------------------------
+
+
+def key_in(store, bucket, start=0):
+    """A ticket key of a bucket."""
+    keys = store.spark.range(start, start + 500).select(F.col("id").cast("string").alias("unique_key"))
+    return keys.filter(store._bucket() == bucket).first().unique_key
+
+
+def racing(store, tickets, monkeypatch, key, other_key):
+    """Load ``key`` while another writer loads ``other_key`` before the commit."""
+    other = TicketStore(store.spark, store.root)
+    commit = TicketStore._commit_load
+
+    def late(self, *args):
+        monkeypatch.setattr(TicketStore, "_commit_load", commit)
+        assert other.load(staged(tickets({"unique_key": other_key, "status": "Closed"}), "theirs"), 9) == 1
+        return commit(self, *args)
+
+    monkeypatch.setattr(TicketStore, "_commit_load", late)
+    return store.load(staged(tickets({"unique_key": key}), "mine"), 8)
+
+
+def test_the_second_of_two_writers_of_a_bucket_is_refused(store, tickets, monkeypatch):
+    key = key_in(store, 1)
+    with pytest.raises(ConcurrentCommit):
+        racing(store, tickets, monkeypatch, key, key)
+    assert [r.status for r in store.current().collect()] == ["Closed"]
+    assert [(r.run_id, r.chunk_key) for r in store.ledger().collect()] == [(9, "theirs")]
+    assert store.history().count() == 1
+    assert store.load(staged(tickets({"unique_key": key}), "mine"), 8) == 1  # and may try again
+    assert store.history().count() == 2
+
+
+def test_writers_of_different_buckets_both_commit(store, tickets, monkeypatch):
+    assert racing(store, tickets, monkeypatch, key_in(store, 0), key_in(store, 3)) == 1
+    assert sorted(r.chunk_key for r in store.ledger().collect()) == ["mine", "theirs"]
+    assert (store.current().count(), store.history().count(), store.version()) == (2, 2, 2)
+
+
+def test_a_number_is_given_once(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    assert log.last() == -1
+    for i in range(20):
+        log.append({"kind": "x", "i": i}, i - 1)
+        assert log.last() == i
+    with pytest.raises(ConcurrentCommit):
+        log.append({"kind": "y"}, 9)
+    assert log.entry(10)["i"] == 10 and log.latest() == {"kind": "x", "i": 19, "version": 19}
+    assert sorted(r.version for r in log.entries("version bigint").collect()) == list(range(20))
+
+
+def runs(store):
+    return {
+        r.run_key: (r.run_id, r.status, r.staged_rows, r.inserted_rows, r.updated_rows, r.unchanged_rows, r.error_message)
+        for r in store.runs().collect()
+    }
+
+
+def test_runs_are_registered_and_resumed(store, tickets, monkeypatch):
+    one = staged(tickets({}, {"unique_key": "2"}), "c1")
+    assert store.run("first", one, "v1", 2)["status"] == "SUCCEEDED"
+    assert runs(store) == {"first": (1, "SUCCEEDED", 2, 2, 0, 0, None)}
+    version = store.version()
+    assert store.run("first", one, "v1", 2)["run_id"] == 1 and store.version() == version  # at once
+    # The gate fails: the run is kept as failed, the active release stays.
+    more = one.unionByName(staged(tickets({"unique_key": "3"}), "c2"))
+    with pytest.raises(RuntimeError, match="v2 rejected"):
+        store.run("second", more, "v2", 99)
+    assert runs(store)["second"][:6] == (2, "FAILED", 3, 1, 0, 2) and "v2 rejected" in runs(store)["second"][6]
+    assert {r.release_key: r.is_active for r in store.registry().collect()} == {"v1": True, "v2": False}
+    # A crash between chunks and gate: the run goes on where it stopped, with its own number.
+    with monkeypatch.context() as patch:
+        patch.setattr(TicketStore, "publish", lambda *a: (_ for _ in ()).throw(OSError("lost" * 1000)))
+        with pytest.raises(OSError):
+            store.run("third", staged(tickets({}, {"unique_key": "2"}, {"unique_key": "3"}), "c1"), "v3", 3)
+    assert runs(store)["third"][1] == "FAILED" and len(runs(store)["third"][6]) == 2000
+    loads = []
+    load = TicketStore.load
+    monkeypatch.setattr(TicketStore, "load", lambda *a: loads.append(load(*a)) or loads[-1])
+    again = store.run("third", staged(tickets({}, {"unique_key": "2"}, {"unique_key": "3"}), "c1"), "v3", 3)
+    assert (again["run_id"], again["status"], again["error_message"], loads) == (3, "SUCCEEDED", None, [0])
+    assert {r.release_key: r.status for r in store.registry().collect()} == {"v1": "CANDIDATE", "v2": "REJECTED", "v3": "ACTIVE"}
 
 
 def test_double_key_in_a_chunk_is_refused(store, tickets):
