@@ -28,6 +28,7 @@ from deskmill.llm.common import stored, table
 CUT = re.compile(r"(?<=\S)(?= \S)")
 HEAD = 1 << 19  # pairs that the tasks know by heart, 17 bytes each
 ROWS, CHARS = 256, 1 << 20  # texts handled at once
+SHOWN = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
 
 
 def byte_letters() -> dict[str, int]:
@@ -99,17 +100,49 @@ class Aligner:
         n = len(self.place)
         return int(self.first[n] + self.numbers[:n, :2].sum())
 
-    def _learn(self, stretches: list[str]) -> None:
+    def _spelt(self, ids: list[int], table: list[bytes]) -> bytes:
+        return b"".join(map(table.__getitem__, ids))
+
+    def _one_by_one(self, stretches: list[str]):
+        """Ids of both sides, ids per stretch, and whether both sides spell a stretch."""
         a = [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
         b = self.b.encode([s[1:] for s in stretches], num_threads=1)
         good = np.zeros(len(stretches), np.bool_)
         for i, (s, x, y) in enumerate(zip(stretches, a, b)):
-            spelt = s.encode()
-            good[i] = b"".join(map(self.a_bytes.__getitem__, x)) == spelt == b"".join(map(self.b_bytes.__getitem__, y))
+            good[i] = self._spelt(x, self.a_bytes) == s.encode() == self._spelt(y, self.b_bytes)
             if not good[i]:
                 a[i], b[i] = [], []
         n_a, n_b = (np.array(list(map(len, x)), np.int64) for x in (a, b))
         ids_a, ids_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
+        return ids_a, ids_b, n_a, n_b, good
+
+    def _in_a_row(self, stretches: list[str]):
+        """The same for stretches that a cut lies before and behind: they are encoded as one
+        text, which both sides cut again where the stretches meet. None if they do not."""
+        text = "".join(stretches)
+        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:])
+        if not self._spelt(a, self.a_bytes) == text.encode() == self._spelt(b, self.b_bytes):
+            return None
+        ends = np.cumsum([len(s.encode()) for s in stretches])
+        counted = []
+        for ids, long in ((np.array(a, np.int64), self.a_long), (np.array(b, np.int64), self.b_long)):
+            end = np.cumsum(long[ids])
+            at = np.searchsorted(end, ends)
+            if (end[at] != ends).any():
+                return None
+            counted.append((ids, np.diff(np.append(-1, at))))
+        (ids_a, n_a), (ids_b, n_b) = counted
+        return ids_a, ids_b, n_a, n_b, np.ones(len(stretches), np.bool_)
+
+    def _learn(self, stretches: list[str]) -> None:
+        row = [s for s in stretches if len(s) > 1 and not s[1].isspace() and not s[-1].isspace()]
+        alone = [s for s in stretches if not (len(s) > 1 and not s[1].isspace() and not s[-1].isspace())]
+        if row:
+            self._keep(row, *(self._in_a_row(row) or self._one_by_one(row)))
+        if alone:
+            self._keep(alone, *self._one_by_one(alone))
+
+    def _keep(self, stretches: list[str], ids_a, ids_b, n_a, n_b, good) -> None:
         long_a, long_b = self.a_long[ids_a], self.b_long[ids_b]
         end_a, end_b = np.cumsum(long_a), np.cumsum(long_b)  # all stretches in a row: both sides are as long
         group = coalesce(np.concatenate([end_a - long_a, end_b - long_b]), np.concatenate([end_a, end_b]))
@@ -219,33 +252,61 @@ def tokenizer_files(a: str | None = None, b: str | None = None) -> tuple[str, by
         return x.read(), y.read()
 
 
-def pair_counts(docs: DataFrame, files=None) -> DataFrame:
-    """``pair`` (a id * 2**32 + b id), ``docs`` (rows of ``docs`` that hold it linked) and
-    ``best`` (whether no other pair of the a id is in more)."""
+def linked(docs: DataFrame, files: tuple[str, bytes] | None = None, digest: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, ``groups`` (or its sha256), and
+    its distinct linked pairs as 64-bit numbers, a id * 2**32 + b id, with how often each is
+    linked: ``pairs`` and ``times`` (little-endian)."""
     shown = docs.sparkSession.sparkContext.broadcast(files or tokenizer_files())
+    name = "groups_sha256" if digest else "groups"
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner = _aligner(shown.value)
+        for ids, texts in _handfuls(batches):
+            numbers, groups, pairs, times = [], [], [], []
+            for places in aligner.find(texts):
+                numbers.append(aligner.numbers[places, :4].sum(axis=0))
+                spelt = ";".join(map(aligner.groups.__getitem__, places.tolist()))
+                groups.append(hashlib.sha256(spelt.encode()).hexdigest() if digest and spelt else spelt)
+                own, often = np.unique(places, return_counts=True)
+                at = aligner.pairs(own)
+                many = aligner.first[own + 1] - aligner.first[own]
+                pair, inverse = np.unique(aligner.codes[at], return_inverse=True)
+                weight = aligner.times[at] * np.repeat(often, many)
+                pairs.append(pair.astype("<i8").tobytes())
+                times.append(np.bincount(inverse, weight, len(pair)).astype("<i8").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in np.reshape(numbers, (-1, 4)).T),
+                 pa.array(groups, pa.string()), pa.array(pairs, pa.binary()), pa.array(times, pa.binary())],
+                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", name, "pairs", "times"],
+            )
+
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
+        link,
+        f"doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, {name} string, pairs binary, times binary",
+    )
+
+
+def pair_counts(links: DataFrame) -> DataFrame:
+    """``pair``, ``docs`` (rows of ``links`` that hold it) and ``best`` (whether no other pair of
+    the a id is in more)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, held, size = _aligner(shown.value), [], 0
+        held, size = [], 0
 
         def summed() -> pa.RecordBatch:
             pair, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.int64),) * 2
             return pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(n, pa.int64())], names=["pair", "docs"])
 
-        for _, texts in _handfuls(batches):
-            for places in aligner.find(texts):
-                held.append(np.unique(aligner.codes[aligner.pairs(np.unique(places))]))
+        for batch in batches:
+            for own in batch.column("pairs").to_pylist():
+                held.append(np.frombuffer(own, "<i8"))
                 size += len(held[-1])
-            if size > 8_000_000:
-                yield summed()
-                held, size = [], 0
+                if size > 4_000_000:
+                    yield summed()
+                    held, size = [], 0
         yield summed()
 
-    counted = (
-        docs.select("doc_id", "text")
-        .mapInArrow(count, "pair bigint, docs bigint")
-        .groupBy("pair")
-        .agg(F.sum("docs").alias("docs"))
-    )
+    counted = links.select("pairs").mapInArrow(count, "pair bigint, docs bigint").groupBy("pair").agg(F.sum("docs").alias("docs"))
     counted = stored(counted)
     a = F.shiftright("pair", 32)
     # One row per id of a tokenizer's vocabulary.
@@ -259,79 +320,48 @@ def align(docs: DataFrame, a: str | None = None, b: str | None = None, digest: b
     """Per row of ``docs`` (doc_id, text): doc_id, n_a, n_b, n_groups, n_links, n_best,
     count_sum and ``groups`` (``a1,a2|b1;a3|b2,b3``), or its sha256 with ``digest``.
 
-    ``a`` is the place of a byte-level tokenizer, ``b`` of a piece model. The ``head``
-    commonest pairs are broadcast, 17 bytes each; the rest is joined.
+    ``a`` is the place of a byte-level tokenizer, ``b`` of a piece model. Texts are tokenized
+    once; their linked pairs are stored, counted and looked up. The ``head`` commonest pairs
+    are broadcast, 17 bytes each; the rest is joined.
 
     Defined cases: a null or empty text, and one that either tokenizer does not spell byte
     by byte, has no tokens: zeros and ''. Rows of one doc_id, or without one, count as a
     document each; all stretches are aligned whole, however long.
     """
-    files = tokenizer_files(a, b)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    pairs = pair_counts(docs, files)
-    top = pairs.orderBy(F.desc("docs"), "pair").limit(head).toArrow().sort_by("pair")
-    context = docs.sparkSession.sparkContext
-    shown = context.broadcast(files)
-    common = context.broadcast(tuple(top[c].to_numpy() for c in ("pair", "docs", "best")))
     name = "groups_sha256" if digest else "groups"
+    links = stored(linked(docs, tokenizer_files(a, b), digest), "zstd")
+    pairs = pair_counts(links)
+    top = pairs.orderBy(F.desc("docs"), "pair").limit(head).toArrow().sort_by("pair")
+    common = docs.sparkSession.sparkContext.broadcast(tuple(top[c].to_numpy() for c in ("pair", "docs", "best")))
     rest_type = pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, (pair, docs_of, best) = _aligner(shown.value), common.value
-        seen, done = None, 0
-        sums = np.zeros((0, 3), np.int64)  # of each stretch: n_best, count_sum, pairs that are not common
-
-        def positions(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pair, docs_of, best = common.value
+        for batch in batches:
+            held = [np.frombuffer(x, "<i8") for x in batch.column("pairs").to_pylist()]
+            times = [np.frombuffer(x, "<i8") for x in batch.column("times").to_pylist()]
+            many = np.array(list(map(len, held)), np.int64)
+            codes, times = np.concatenate([np.zeros(0, np.int64), *held]), np.concatenate([np.zeros(0, np.int64), *times])
             at = np.minimum(np.searchsorted(pair, codes), max(0, len(pair) - 1))
-            return at, (pair[at] == codes if len(pair) else np.zeros(len(codes), np.bool_))
-
-        for ids, texts in _handfuls(batches):
-            found = aligner.find(texts)
-            if seen is not aligner.place:  # the memory was emptied
-                seen, done, sums = aligner.place, 0, np.zeros((0, 3), np.int64)
-            now = len(aligner.place)
-            if done < now:
-                span = slice(aligner.first[done], aligner.first[now])
-                at, hit = positions(aligner.codes[span])
-                times = aligner.times[span]
-                each = np.stack([times * hit, times * hit, ~hit], axis=1)
-                if len(pair):
-                    each[:, 0] *= best[at]
-                    each[:, 1] *= docs_of[at]
-                total = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(each, axis=0)])
-                edges = aligner.first[done : now + 1] - aligner.first[done]
-                fresh = total[edges[1:]] - total[edges[:-1]]
-                while now > len(sums):
-                    sums = np.concatenate([sums, np.zeros((max(1024, len(sums)), 3), np.int64)])
-                sums[done:now], done = fresh, now
-            numbers = np.zeros((len(found), 6), np.int64)
-            groups, rest, lengths = [], [], []
-            for i, places in enumerate(found):
-                numbers[i, :4] = aligner.numbers[places, :4].sum(axis=0)
-                numbers[i, 4:] = sums[places, :2].sum(axis=0)
-                spelt = ";".join(map(aligner.groups.__getitem__, places.tolist()))
-                groups.append(hashlib.sha256(spelt.encode()).hexdigest() if digest and spelt else spelt)
-                rare, often = np.unique(places[sums[places, 2] > 0], return_counts=True)
-                many = aligner.first[rare + 1] - aligner.first[rare]
-                where = aligner.pairs(rare)
-                codes, times = aligner.codes[where], aligner.times[where] * np.repeat(often, many)
-                left = ~positions(codes)[1]
-                codes, inverse = np.unique(codes[left], return_inverse=True)
-                rest += [codes, np.bincount(inverse, times[left], len(codes)).astype(np.int64)]
-                lengths.append(len(codes))
-            flat = pa.StructArray.from_arrays(
-                [pa.array(np.concatenate(rest[0::2])), pa.array(np.concatenate(rest[1::2]))], names=["pair", "times"]
-            )
+            hit = pair[at] == codes if len(pair) else np.zeros(len(codes), np.bool_)
+            each = np.zeros((3, len(codes)), np.int64)
+            if len(pair):
+                each[0], each[1] = times * hit * best[at], times * hit * docs_of[at]
+            each[2] = ~hit
+            total = np.concatenate([np.zeros((3, 1), np.int64), np.cumsum(each, axis=1)], axis=1)
+            edges = np.append(0, np.cumsum(many))
+            n_best, count_sum, left = total[:, edges[1:]] - total[:, edges[:-1]]
+            flat = pa.StructArray.from_arrays([pa.array(codes[~hit]), pa.array(times[~hit])], names=["pair", "times"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), *(pa.array(c) for c in numbers.T), pa.array(groups, pa.string()),
-                 pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)), pa.int32()), flat, type=rest_type)],
-                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", name, "rest"],
+                [*(batch.column(c) for c in (*SHOWN, name)), pa.array(n_best), pa.array(count_sum),
+                 pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(left)), pa.int32()), flat, type=rest_type)],
+                names=[*SHOWN, name, "n_best", "count_sum", "rest"],
             )
 
-    scored = docs.mapInArrow(
+    scored = links.mapInArrow(
         score,
-        "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
-        f"{name} string, rest array<struct<pair: bigint, times: bigint>>",
+        f"doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, {name} string, "
+        "n_best bigint, count_sum bigint, rest array<struct<pair: bigint, times: bigint>>",
     )
     scored = stored(scored.withColumn("_row", F.monotonically_increasing_id()))
     rest = (
@@ -345,7 +375,7 @@ def align(docs: DataFrame, a: str | None = None, b: str | None = None, digest: b
         )
     )
     return scored.join(rest, "_row", "left").select(
-        "doc_id", "n_a", "n_b", "n_groups", "n_links",
+        *SHOWN,
         (F.col("n_best") + F.coalesce("_best", F.lit(0))).alias("n_best"),
         (F.col("count_sum") + F.coalesce("_sum", F.lit(0))).alias("count_sum"), name,
     )

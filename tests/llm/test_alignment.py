@@ -123,4 +123,4 @@ def test_query_on_the_table(spark, folder, plain):
         *numbers, groups = want[r.doc_id]
         assert [r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum] == numbers
         assert r.groups_sha256 == (hashlib.sha256(groups.encode()).hexdigest() if groups else "")
-    assert m.pair_counts(spark.createDataFrame(rows)).filter(F.col("docs") > len(rows)).count() == 0
+    assert m.pair_counts(m.linked(spark.createDataFrame(rows))).filter(F.col("docs") > len(rows)).count() == 0
