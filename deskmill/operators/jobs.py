@@ -57,43 +57,69 @@ def _turns(log: DataFrame, submits: DataFrame) -> DataFrame:
     return rows.filter(is_start != was_start)
 
 
-def replay(log: DataFrame) -> DataFrame:
+def known_calls(log: DataFrame, assets: DataFrame | None, runs: DataFrame | None) -> DataFrame:
+    """``log`` with ``refused``: a submit for an asset that ``assets`` (asset_key) lacks, or a
+    complete with a run that ``runs`` (dq_run_id) lacks; a complete may name no run."""
+    refused = F.lit(False)
+    if assets is not None:
+        known = assets.select("asset_key").distinct().withColumn("_asset", F.lit(True))
+        log = log.join(known, "asset_key", "left")
+        refused = refused | ((F.col("action") == "submit") & F.col("_asset").isNull())
+    if runs is not None:
+        known = runs.select("dq_run_id").distinct().withColumn("_run", F.lit(True))
+        log = log.join(known, "dq_run_id", "left")
+        named = F.col("dq_run_id").isNotNull() & F.col("_run").isNull()
+        refused = refused | ((F.col("action") == "complete") & named)
+    return log.withColumn("refused", refused).drop("_asset", "_run")
+
+
+def replay(log: DataFrame, assets: DataFrame | None = None, runs: DataFrame | None = None) -> DataFrame:
     """One row per submitted job: status, attempts, version and rejected events.
 
     ``log`` has job_key, at, event_id, action (submit, start, fail, complete),
-    release_key, asset_key, max_retries, message and dq_run_id.
+    release_key, asset_key, max_retries, message and dq_run_id. With ``assets`` or ``runs``
+    a submit or complete that names an unknown one has no effect; a refused complete
+    counts as a rejected event.
     """
+    every = log
+    if assets is not None or runs is not None:
+        every = known_calls(log, assets, runs)
+        log = every.filter("NOT refused")
     submits = _submits(log)
     turns = _turns(log, submits)
-    seen = log.groupBy("job_key").agg(F.count_if(F.col("action") != "submit").alias("steps"))
+    seen = every.groupBy("job_key").agg(F.count_if(F.col("action") != "submit").alias("steps"))
     marks = turns.groupBy("job_key").agg(
         F.min(F.when(F.col("action") == "complete", F.struct(*PLACE, "dq_run_id"))).alias("done"),
         F.max(F.struct(*PLACE, "action")).alias("last"),
     )
-    # Of a job, only the fails that its own retries allow and the final one matter.
+    # Of a job, only the fails that its own retries allow and the final one matter: the
+    # final one, the last one and how many came before the end are all that is kept.
     fails = (
         row_number(turns.filter("action = 'fail'"), ["job_key"], PLACE, "_n")
         .join(submits.select("job_key", "max_retries"), "job_key")
         .filter(F.col("_n") <= F.col("max_retries") + 1)
+        .join(marks.select("job_key", "done"), "job_key", "left")
         .groupBy("job_key")
-        .agg(F.array_sort(F.collect_list(F.struct(*PLACE, "message"))).alias("fails"))
+        .agg(
+            F.max(F.when(F.col("_n") == F.col("max_retries") + 1, F.struct(*PLACE, "message"))).alias("final"),
+            F.max(F.struct(*PLACE, "message")).alias("last_fail"),
+            F.count("*").alias("n_fails"),
+            F.count_if(F.struct(*PLACE) < F.struct("done.at", "done.event_id")).alias("before_done"),
+        )
     )
     jobs = (
         submits.join(seen, "job_key")
         .join(marks, "job_key", "left")
         .join(fails, "job_key", "left")
     )
-    final_fail = F.get("fails", F.col("max_retries").cast("int"))
-    earlier = F.filter(
-        "fails", lambda f: F.struct(f["at"], f["event_id"]) < F.struct("done.at", "done.event_id")
-    )
-    before_done = F.coalesce(F.array_size(earlier), F.lit(0))
+    final_fail = F.col("final")
+    before_done = F.coalesce("before_done", F.lit(0))
     succeeded = F.col("done").isNotNull() & (
         final_fail.isNull()
         | (F.struct("done.at", "done.event_id") < F.struct(final_fail["at"], final_fail["event_id"]))
     )
     running = F.coalesce(F.col("last.action") == "start", F.lit(False))
-    fail_count = F.coalesce(F.array_size("fails"), F.lit(0))
+    fail_count = F.coalesce("n_fails", F.lit(0))
     return (
         jobs.withColumn(
             "status",
@@ -124,7 +150,7 @@ def replay(log: DataFrame) -> DataFrame:
             "version_no",
             F.when(F.col("status") == "SUCCEEDED", F.col("done.dq_run_id")).alias("dq_run_id"),
             F.when(F.col("status") == "FAILED", final_fail["message"])
-            .when(F.col("status") == "QUEUED", F.try_element_at("fails", F.lit(-1))["message"])
+            .when(F.col("status") == "QUEUED", F.col("last_fail.message"))
             .alias("error_message"),
             "repeated_submits",
             "conflicting_submits",

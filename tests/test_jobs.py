@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deskmill.operators.jobs import replay
+from deskmill.streaming.job_state import ROCKS, follow_keyed, job_table
 from deskmill.streaming.replay import LOG, fold, follow
 
 START = dt.datetime(2025, 1, 1)
@@ -142,3 +143,54 @@ def test_fold_leaves_other_jobs_alone(spark):
     first = fold(replay(spark.createDataFrame([], LOG)), spark.createDataFrame(log_rows("a", ["submit", "start"]), LOG))
     second = fold(first, spark.createDataFrame(log_rows("b", ["submit"], first=10), LOG))
     assert {k: v[0] for k, v in as_dict(second).items()} == {"a": "RUNNING", "b": "QUEUED"}
+
+
+# --- state per job ---------------------------------------------------------------
+
+
+@pytest.fixture
+def rocks(spark):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    yield spark
+    spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+@pytest.mark.parametrize("seed", [21, 22])
+def test_shuffled_batches_end_like_one_replay(rocks, tmp_path, seed):
+    """Calls come in any order over five batches, starts before their submits too."""
+    rows = random_log(seed, jobs=15)
+    random.Random(seed).shuffle(rows)
+    calls, table = str(tmp_path / "calls"), str(tmp_path / "jobs")
+    for step in range(5):
+        rocks.createDataFrame(rows[step::5], LOG).coalesce(1).write.mode("append").json(calls)
+        follow_keyed(rocks, calls, table, str(tmp_path / "ck")).awaitTermination()
+    want = by_hand(rows)
+    assert as_dict(job_table(rocks, table)) == want
+    assert as_dict(replay(rocks.createDataFrame(rows, LOG))) == want
+
+
+def test_settled_calls_leave_the_buffer(rocks, tmp_path):
+    """With little lateness the buffer empties, and the table stays that of one replay."""
+    rows = [r for j in range(6) for r in log_rows(f"j{j}", ["start", "submit", "start", "fail", "start", "complete"] * 3)]
+    calls, table, ck = str(tmp_path / "calls"), str(tmp_path / "jobs"), str(tmp_path / "ck")
+    for step in range(6):
+        part = [r for r in rows if step * 3 <= r[2] < step * 3 + 3]
+        random.Random(step).shuffle(part)
+        rocks.createDataFrame(part, LOG).coalesce(1).write.mode("append").json(calls)
+        follow_keyed(rocks, calls, table, ck, lateness="3 minutes").awaitTermination()
+    assert as_dict(job_table(rocks, table)) == by_hand(rows)
+    state = rocks.read.format("statestore").option("path", ck).option("stateVarName", "buffer").load()
+    assert 0 < state.count() < len(rows) / 2
+    # A call from long before the watermark is dropped.
+    rocks.createDataFrame(log_rows("j0", ["submit:other"], first=0), LOG).coalesce(1).write.mode("append").json(calls)
+    follow_keyed(rocks, calls, table, ck, lateness="3 minutes").awaitTermination()
+    assert as_dict(job_table(rocks, table)) == by_hand(rows)
+
+
+def test_unknown_assets_and_runs_are_refused(spark):
+    rows = log_rows("a", ["submit", "start", "complete", "complete"]) + log_rows("b", ["submit", "start"], first=10)
+    rows[4] = (*rows[4][:5], "nowhere", *rows[4][6:])
+    assets = spark.createDataFrame([("dwd_ticket",)], "asset_key string")
+    runs = spark.createDataFrame([(3,)], "dq_run_id bigint")
+    got = replay(spark.createDataFrame(rows, LOG), assets, runs).collect()
+    assert [(r.job_key, r.status, r.dq_run_id, r.rejected_events) for r in got] == [("a", "SUCCEEDED", 3, 1)]
