@@ -8,9 +8,8 @@ are scored; the document takes the highest score. Training and scoring are numpy
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +23,7 @@ BUCKETS, WIDTH, HIDDEN, LOOK = 1 << 14, 4, 6, 4
 SAMPLE_ROWS, SAMPLE_BYTES = 2_400, 32_768  # training: rows of each label, bytes of a text
 EPOCHS, STEPS, BATCH, RATE, SEED = 7, 300, 96, 0.02, 7  # at least so many rounds and steps
 CHANNELS = 2 * WIDTH + 2
+SLICE = 16_384  # words whose character groups training looks at together
 TOKEN = re.compile(r"\w+")
 
 
@@ -214,7 +214,7 @@ def _gradients(net: Network, vectors: np.ndarray, real: np.ndarray, labels: np.n
     return g, d_vectors
 
 
-def train(texts: list[str], labels: list[int]) -> Network | None:
+def train(texts: Iterable[str], labels: list[int]) -> Network | None:
     """Fit the network to labelled texts; None without both labels.
 
     A window has no label of its own: in each round the window of a toxic text that
@@ -225,13 +225,34 @@ def train(texts: list[str], labels: list[int]) -> Network | None:
     if not 0 < y.sum() < len(y):
         return None
     net, random = Network.fresh(), np.random.default_rng(SEED)
-    docs = [list(chain.from_iterable(words_of(t))) for t in texts]
-    names = sorted(set(chain.from_iterable(docs)))
-    if not names:
+    # Words become numbers while the texts are read: they are never held as objects.
+    place: dict[str, int] = {}
+    ids = [
+        np.fromiter((place.setdefault(w, len(place)) for words in words_of(t) for w in words), np.int32) for t in texts
+    ]
+    if not place:
         return None
-    place = {w: i for i, w in enumerate(names)}
-    word_at, flat, first, sizes = features(names)
-    ids = [np.array([place[w] for w in words], np.int64) for words in docs]
+    names = sorted(place)
+    rank = np.empty(len(names), np.int32)
+    rank[[place[w] for w in names]] = np.arange(len(names))
+    ids = [rank[own] for own in ids]
+    del place
+    # Groups of all words lie in one list; everything over it is done for some words at a time.
+    parts = [features(names[a : a + SLICE]) for a in range(0, len(names), SLICE)]
+    word_at = np.concatenate([p[0] for p in parts])
+    flat = np.concatenate([p[1].astype(np.int32) for p in parts])
+    sizes = np.concatenate([p[3] for p in parts])
+    first = np.cumsum(sizes) - sizes
+    del parts, names
+
+    def reduced(merge: np.ufunc, table: np.ndarray) -> np.ndarray:
+        """The rows of ``table`` for the groups of each word, merged."""
+        found = []
+        for a in range(0, len(first), SLICE):
+            begin, end = first[a], (first[a + SLICE] if a + SLICE < len(first) else len(flat))
+            found.append(merge.reduceat(table[flat[begin:end]], first[a : a + SLICE] - begin, axis=0))
+        return np.concatenate(found)
+
     seen_word, seen_group = np.zeros((2, BUCKETS)), np.zeros((2, 4 * BUCKETS))
     for own, label in zip(ids, labels):
         own = np.unique(own)
@@ -253,7 +274,7 @@ def train(texts: list[str], labels: list[int]) -> Network | None:
             np.stack(
                 [
                     without_one(seen_word, k)[word_at],
-                    np.maximum.reduceat(without_one(seen_group, k)[flat], first),
+                    reduced(np.maximum, without_one(seen_group, k)),
                 ],
                 axis=1,
             )
@@ -262,11 +283,11 @@ def train(texts: list[str], labels: list[int]) -> Network | None:
     )
 
     def windows(doc: int) -> np.ndarray:
-        padded = np.append(ids[doc], np.full(max(0, WINDOW - len(ids[doc])), -1))
+        padded = np.append(ids[doc], np.full(max(0, WINDOW - len(ids[doc])), -1, np.int32))
         return padded[window_starts(len(ids[doc]))[:, None] + np.arange(WINDOW)]
 
     def means() -> np.ndarray:
-        return np.add.reduceat(net.group[flat], first, axis=0) / sizes[:, None]
+        return reduced(np.add, net.group) / sizes[:, None]
 
     def vectors(where: np.ndarray, label: np.ndarray, mean: np.ndarray) -> np.ndarray:
         """time, window, channel of word numbers (window, time)."""
@@ -275,22 +296,26 @@ def train(texts: list[str], labels: list[int]) -> Network | None:
 
     moments = {k: [np.zeros_like(getattr(net, k)), np.zeros_like(getattr(net, k))] for k in TRAINED}
     step = 0
-    cut = [[windows(i) for i in np.flatnonzero(y == k)] for k in (0, 1)]
-    every = [np.concatenate(c) for c in cut]
-    edges = [np.cumsum([0, *map(len, c)]) for c in cut]
-    spans = [list(zip(e[:-1], e[1:])) for e in edges]
-    rounds = max(EPOCHS, -(-STEPS * BATCH // (2 * len(docs))))
+    every, spans = [], []
+    for k in (0, 1):
+        cut = [windows(i) for i in np.flatnonzero(y == k)]
+        edges = np.cumsum([0, *map(len, cut)])
+        every.append(np.concatenate(cut))
+        spans.append(list(zip(edges[:-1], edges[1:])))
+        del cut
+    rounds = max(EPOCHS, -(-STEPS * BATCH // (2 * len(ids))))
+    ids.clear()
     for epoch in range(rounds):
         mean = means()
-        gates = []  # of every word, as seen from a clean and from a toxic text
-        for k in (0, 1):
-            inputs = np.concatenate([net.word[word_at], mean, left_out[k]], axis=1)
-            gates.append(net.project(inputs.astype(np.float32)))
         chosen, marks = [], []
         for label in (0, 1):
             if epoch:
+                # Gates of every word, as seen from a text of this label.
+                inputs = np.concatenate([net.word[word_at], mean, left_out[label]], axis=1)
+                gates = net.project(inputs.astype(np.float32))
                 rows = every[label]
-                score = np.concatenate([net.scores(gates[label], rows[a : a + 1024].T) for a in range(0, len(rows), 1024)])
+                score = np.concatenate([net.scores(gates, rows[a : a + 1024].T) for a in range(0, len(rows), 1024)])
+                del inputs, gates
             else:  # before any training: where the odds are highest
                 score = np.where(every[label] >= 0, left_out[label, every[label]].sum(axis=2), -9).max(axis=1)
             for begin, end in spans[label]:
@@ -414,7 +439,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, samp
         .collect()
     )
     rows.sort(key=lambda r: r.doc_id)
-    return train([r.text for r in rows], [r.toxic for r in rows])
+    labels_of = [r.toxic for r in rows]
+    texts = (rows.pop().text for _ in range(len(rows)))  # each is gone when it has been read
+    rows.reverse()
+    return train(texts, labels_of)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
