@@ -41,7 +41,6 @@ class Encoder:
         if memory.of != hash(text):
             memory.of, memory.words, memory.cores = hash(text), {}, {}
             memory.tokenizer = Tokenizer.from_str(text)
-            memory.tokenizer.encode_special_tokens = True
             memory.marks = {m: self._ids(memory, [m])[0] if m else b"" for m in ("", ".", ",")}
         self.memory, self.most = memory, most
 

@@ -16,9 +16,7 @@ from tests.llm.conftest import long_text
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_str(tokenizer_text())
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_str(tokenizer_text())
 
 
 @settings(max_examples=150, deadline=None)
@@ -28,6 +26,13 @@ def test_encoder_is_the_tokenizer(tokenizer, text):
     assert np.frombuffer(Encoder(tokenizer_text()).encode([text])[0], np.uint32).tolist() == ids
 
 
+def test_special_tokens_of_a_text_are_those_of_the_tokenizer(tokenizer):
+    for text in ["a <|endoftext|> b", "x<|startoftext|>y, z", "<|endoftext|>" * 3, "<|END|>"]:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(Encoder(tokenizer_text()).encode([text])[0], np.uint32).tolist() == ids
+    assert tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids == [320, 49407, 321]
+
+
 def test_round_trip(spark, docs, tokenizer):
     rows = [
         (1, long_text(3000), "en", "a"), (2, None, "en", "a"), (3, "", None, None), (4, "hello, world", "en", "b"),

@@ -21,7 +21,6 @@ from tests.llm.conftest import long_text
 @pytest.fixture(scope="module")
 def count():
     made = Tokenizer.from_str(tokenizer_text())
-    made.encode_special_tokens = True
     return lambda text: len(made.encode(text, add_special_tokens=False).ids)
 
 
