@@ -7,14 +7,15 @@ import re
 import sys
 from array import array
 from types import SimpleNamespace
+from unicodedata import is_normalized
 
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from deskmill.llm.common import pieces
 
-# A word of Latin letters with at most one mark behind it: lower-casing is per letter there,
-# and the mark is a token of its own, so word and mark can be looked up apart.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]?)")
+# A word of Latin letters with at most one mark behind it: lower-casing gives one letter each
+# there, and the mark is a token of its own, so word and mark can be looked up apart.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,]?)")
 
 
 def tokenizer_text(path: str | None = None) -> str:
@@ -41,12 +42,17 @@ class Encoder:
         if memory.of != hash(text):
             memory.of, memory.words, memory.cores = hash(text), {}, {}
             memory.tokenizer = Tokenizer.from_str(text)
+            # The same model without the steps that change nothing in lower-case letters.
+            memory.bare = Tokenizer.from_str(text)
+            memory.bare.normalizer = normalizers.Sequence([])
+            memory.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             memory.marks = {m: self._ids(memory, [m])[0] if m else b"" for m in ("", ".", ",")}
         self.memory, self.most = memory, most
 
     @staticmethod
-    def _ids(memory: SimpleNamespace, words: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in memory.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _ids(memory: SimpleNamespace, words: list[str], bare: bool = False) -> list[bytes]:
+        tokenizer = memory.bare if bare else memory.tokenizer
+        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _learn(self, words: set[str]) -> None:
         memory = self.memory
@@ -55,8 +61,11 @@ class Encoder:
         for w in new:
             plain = PLAIN.fullmatch(w)
             split.append((plain[1].lower(), plain[2]) if plain else (w, ""))
-        missing = list({core for core, _ in split if core not in memory.cores})
-        memory.cores.update(zip(missing, self._ids(memory, missing)))
+        missing = {core for core, _ in split if core not in memory.cores}
+        bare = [c for c in missing if c.isalpha() and c.islower() and (c.isascii() or is_normalized("NFC", c))]
+        other = list(missing.difference(bare))
+        memory.cores.update(zip(bare, self._ids(memory, bare, bare=True)))
+        memory.cores.update(zip(other, self._ids(memory, other)))
         memory.words.update((w, memory.cores[core] + memory.marks[mark]) for w, (core, mark) in zip(new, split))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -64,7 +73,7 @@ class Encoder:
         if len(self.memory.words) > self.most:
             self.memory.words, self.memory.cores = {}, {}
         split = [[p.replace("\n", " ").split(" ") for p in pieces(t or "")] for t in texts]
-        self._learn({w for text in split for piece in text for w in piece})
+        self._learn(set().union(*(piece for text in split for piece in text)))
         lookup = self.memory.words.__getitem__
         for text in split:
             found.append(b"".join(b"".join(map(lookup, piece)) for piece in text))

@@ -27,7 +27,7 @@ def test_encoder_is_the_tokenizer(tokenizer, text):
 
 
 def test_special_tokens_of_a_text_are_those_of_the_tokenizer(tokenizer):
-    for text in ["a <|endoftext|> b", "x<|startoftext|>y, z", "<|endoftext|>" * 3, "<|END|>"]:
+    for text in ["a <|endoftext|> b", "x<|startoftext|>y, z", "<|endoftext|>" * 3, "<|END|>", "İ. Øİ, ǅ.", "naïve É. ŉ ß,"]:
         ids = tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(Encoder(tokenizer_text()).encode([text])[0], np.uint32).tolist() == ids
     assert tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids == [320, 49407, 321]
