@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -34,6 +37,35 @@ def complaint_counts(current: DataFrame, release_id: Column) -> DataFrame:
     ).agg(F.count("*").alias("ticket_count"))
 
 
+@dataclass(frozen=True)
+class Serving:
+    """A serving table: how it is counted from the tickets, and the columns of a count."""
+
+    count: Callable[[DataFrame, Column], DataFrame]
+    by: tuple[str, ...]
+
+
+SERVING = {
+    "ads_daily_status": Serving(daily_status, ("created_day", "status")),
+    "ads_agency_status": Serving(agency_status, ("agency", "borough", "status")),
+    "ads_complaint": Serving(complaint_counts, ("complaint_type",)),
+}
+
+
+def maintained(stored: DataFrame, changes: DataFrame, table: str, release_id: Column) -> DataFrame:
+    """A serving table after some more changes (rows with ``sign``), without counting again.
+
+    The signed rows are summed and added to the stored counts; counts that come to
+    nothing leave. Only the table and the changes are read, never the tickets.
+    """
+    by = SERVING[table].by
+    day = changes.withColumn("created_day", created_day())
+    delta = day.groupBy(*by).agg(F.sum("sign").cast("bigint").alias("ticket_count"))
+    both = stored.select(*by, "ticket_count").unionByName(delta.select(*by, "ticket_count"))
+    sums = both.groupBy(*by).agg(F.sum("ticket_count").alias("ticket_count")).filter("ticket_count <> 0")
+    return sums.select(release_id.cast("bigint").alias("release_id"), *by, "ticket_count")
+
+
 def daily_trend(current: DataFrame) -> DataFrame:
     """Tickets per day from the detail rows, in date order."""
     return (

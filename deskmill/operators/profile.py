@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from deskmill.functions.ratios import count_where
 from deskmill.functions.text import is_blank, is_closed
-from deskmill.functions.times import wall_clock
+from deskmill.functions.times import month_name, wall_clock
 from deskmill.operators.ordered import running_total
 
 
@@ -166,6 +166,54 @@ def approximate_percentiles(
     )
 
 
+SKETCH_SIZE, SKETCH_ERROR = 800, 0.01  # rank error: 0.4 % with 99 % confidence at this size
+
+
+def quantile_sketches(df: DataFrame, value: Column, *by: Column | str) -> DataFrame:
+    """A mergeable quantile sketch of ``value`` per group: ``sketch`` and ``value_count``."""
+    return df.groupBy(*by).agg(
+        F.kll_sketch_agg_double(value.cast("double"), F.lit(SKETCH_SIZE)).alias("sketch"), F.count(value).alias("value_count")
+    )
+
+
+def merged_quantiles(sketches: DataFrame, fractions: Sequence[float]) -> DataFrame:
+    """``fraction``, ``value``: quantiles of all values behind the sketches, which are merged;
+    the values themselves are not read."""
+    whole = sketches.agg(F.kll_merge_agg_double("sketch", F.lit(SKETCH_SIZE)).alias("s"))
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("fraction"), F.kll_sketch_get_quantile_double("s", F.lit(float(p))).alias("value")) for p in fractions])
+    return whole.select(F.inline(wanted))
+
+
+def rank_check(df: DataFrame, column: str, quantiles: DataFrame, error: float = SKETCH_ERROR) -> DataFrame:
+    """Whether each of a few quantiles (fraction, value) has its rank in ``column`` up to ``error``."""
+    found = quantiles.collect()  # a row per fraction asked
+    counts = [
+        x.alias(f"{side}{i}")
+        for i, q in enumerate(found)
+        for side, x in (("lo", F.count_if(F.col(column) < q.value)), ("hi", F.count_if(F.col(column) <= q.value)))
+    ]
+    one = df.agg(F.count(column).alias("value_count"), *counts)
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(q.fraction).alias("fraction"), "value_count",
+                ((F.col(f"lo{i}") / F.col("value_count") <= q.fraction + error)
+                 & (F.col(f"hi{i}") / F.col("value_count") >= q.fraction - error)).alias("within_error"),
+            )
+            for i, q in enumerate(found)
+        ]
+    )
+    return one.select(F.inline(rows))
+
+
+def counts_by_month_and_flag(df: DataFrame) -> DataFrame:
+    """Rows per created month and per quality flag, in one pass: ``kind``, ``name``, ``row_count``."""
+    month = F.struct(F.lit("month").alias("kind"), month_name(F.col("created_date")).alias("name"))
+    flags = F.transform("quality_flags", lambda f: F.struct(F.lit("flag").alias("kind"), f.alias("name")))
+    marks = F.concat(F.array(month), F.coalesce(flags, F.array().cast("array<struct<kind: string, name: string>>")))
+    return df.select(F.inline(marks)).groupBy("kind", "name").agg(F.count("*").alias("row_count"))
+
+
 def update_instants(df: DataFrame, column: str, n: int = 5) -> DataFrame:
     """The most frequent update instants, and how many distinct ones there are."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("row_count"))

@@ -27,6 +27,12 @@ def before_cursor(created: str, key: str) -> Column:
     return (F.col("created_date") <= at) & (pair < F.struct(at.alias("a"), F.lit(key).alias("b")))
 
 
+def months_upto(created: str) -> Column:
+    """Rows of months not after that of ``created``, by the partition columns of the detail."""
+    year, month = int(created[:4]), int(created[5:7])
+    return (F.col("created_year") < year) | ((F.col("created_year") == year) & (F.col("created_month") <= month))
+
+
 def after_cursor(created: str, key: str) -> Column:
     at = F.lit(created).cast("timestamp_ntz")
     pair = F.struct(F.col("created_date"), F.col("unique_key"))

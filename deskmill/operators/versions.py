@@ -41,6 +41,19 @@ def classify_changes(batch: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
+def changed_rows(batch: DataFrame, current: DataFrame) -> DataFrame:
+    """Signed rows of what a batch changes: the new row with ``sign`` 1, and for an updated key
+    also the stored one with -1. Unchanged keys give nothing."""
+    columns = [c for c in batch.columns if c in current.columns]
+    old = current.select(KEY, F.struct(*columns).alias("_old"))
+    moved = batch.select(KEY, F.struct(*columns).alias("_new")).join(old, KEY, "left")
+    moved = moved.filter(F.col("_old").isNull() | (F.col(f"_old.{HASH}") != F.col(f"_new.{HASH}")))
+    plus = F.struct(F.col("_new").alias("row"), F.lit(1).alias("sign"))
+    minus = F.struct(F.col("_old").alias("row"), F.lit(-1).alias("sign"))
+    both = F.when(F.col("_old").isNull(), F.array(plus)).otherwise(F.array(plus, minus))
+    return moved.select(F.explode(both).alias("_c")).select("_c.row.*", "_c.sign")
+
+
 def change_counts(classified: DataFrame, *by: str) -> DataFrame:
     """Row totals per change class."""
     return classified.groupBy(*by).agg(

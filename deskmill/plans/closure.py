@@ -72,16 +72,20 @@ def model_auc(spark: SparkSession, folder: str) -> DataFrame:
     test = _scored(spark, folder).filter("split = 'test'").select("label", "rawPrediction")
     kept = test.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        roc, pr = model.area_under(kept, "areaUnderROC"), model.area_under(kept, "areaUnderPR")
+        rows, roc, pr = kept.count(), model.area_under(kept, "areaUnderROC"), model.area_under(kept, "areaUnderPR")
     finally:
         kept.unpersist()
-    return test.agg(
-        F.count("*").alias("row_count"),
+    return spark.range(1).select(
+        F.lit(rows).cast("bigint").alias("row_count"),
         F.lit(round(roc, 6)).alias("roc_auc"),
         F.lit(round(pr, 6)).alias("pr_auc"),
     )
 
 
+def auc_by_rank(spark: SparkSession, folder: str) -> DataFrame:
+    return model.areas_by_rank(_event_scores(spark, folder))
+
+
 QUERIES = {
     "closure_label": closure_label,
     "label_split_profile": label_split_profile,
@@ -91,6 +95,7 @@ QUERIES = {
     "majority_baseline": majority_baseline,
     "closure_model_scores": closure_model_scores,
     "model_auc": model_auc,
+    "auc_by_rank": auc_by_rank,
 }
 
 _LABELLED = f""", lab AS (
@@ -140,6 +145,20 @@ ORACLE = {
     ),
     "confusion_by_threshold": f"WITH {_CONFUSION} SELECT * FROM grid",
     "best_threshold": f"WITH {_CONFUSION} SELECT * FROM grid ORDER BY f1 DESC, threshold LIMIT 1",
+    "auc_by_rank": """WITH s AS (
+  SELECT value / (SELECT max(value) FROM events) AS score, (event_type = 'purchase')::bigint AS hit FROM events
+), g AS (
+  SELECT score, sum(hit)::bigint AS p, count(*) - sum(hit)::bigint AS n FROM s GROUP BY score
+), c AS (
+  SELECT *, sum(p) OVER w AS tp, sum(n) OVER w AS fp, (SELECT sum(p) FROM g) AS ps, (SELECT sum(n) FROM g) AS ns
+  FROM g WINDOW w AS (ORDER BY score DESC)
+), pts AS (
+  SELECT *, tp / ps AS r, tp / (tp + fp) AS pr, lag(tp / ps, 1, 0.0) OVER o AS r0,
+    lag(tp / (tp + fp)) OVER o AS pr0 FROM c WINDOW o AS (ORDER BY score DESC)
+)
+SELECT sum(p)::bigint AS positive, sum(n)::bigint AS negative,
+  round(sum(n * (tp - p / 2.0)) / max(ps) / max(ns), 6) AS roc_auc,
+  round(sum((r - r0) * (pr + coalesce(pr0, pr)) / 2), 6) AS pr_auc FROM pts""",
     "majority_baseline": over_tickets(
         """SELECT round(avg(label), 6) AS positive_rate,
   round(greatest(avg(label), 1 - avg(label)), 6) AS majority_accuracy FROM lab WHERE split = 'test'""",

@@ -37,6 +37,16 @@ def ads_complaint(spark: SparkSession, folder: str) -> DataFrame:
     return marts.complaint_counts(frames.current(spark, folder), F.lit(ACTIVE))
 
 
+def _maintained(table: str):
+    """The serving table after run 2, from that of run 1 and the changes of run 2."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        stored, moved = layers.served_after_run_1(spark, folder, table), layers.changes(spark, folder)
+        return marts.maintained(stored, moved, table, F.lit(2))
+
+    return query
+
+
 def q3_daily_trend(spark: SparkSession, folder: str) -> DataFrame:
     return marts.daily_trend(frames.current(spark, folder))
 
@@ -84,16 +94,26 @@ def detail_vs_ads_equal(spark: SparkSession, folder: str) -> DataFrame:
     return marts.compare_results(detail, summary)
 
 
+def key_bucket_of(spark: SparkSession, key: str | None) -> int | None:
+    """Bucket of one key, so that the plan names it."""
+    return spark.range(1).select(layers.key_bucket(F.lit(key))).first()[0]
+
+
 def q1_point_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    now = layers.detail(spark, folder)
-    return serving.smallest_key_lookup(now, now).select("unique_key", "status", "agency")
+    """The row of the smallest key. The key column alone is scanned for it; the lookup then
+    opens one bucket."""
+    rows = layers.by_key(spark, folder)
+    key = rows.agg(F.min("unique_key")).first()[0]
+    found = rows.filter((F.col("unique_key") == key) & (F.col("key_bucket") == key_bucket_of(spark, key)))
+    return found.select("unique_key", "status", "agency")
 
 
 def q2_cursor_page(spark: SparkSession, folder: str) -> DataFrame:
     rows = layers.detail(spark, folder).filter(
         (F.col("agency") == "BUILDING") & (F.upper("status") == "OPEN")
     )
-    page = serving.newest_first_page(rows.filter(serving.before_cursor("2001-01-01", "999999999")), 100)
+    rows = rows.filter(serving.months_upto("2001-01-01") & serving.before_cursor("2001-01-01", "999999999"))
+    page = serving.newest_first_page(rows, 100)
     return page.select("unique_key", "created_date", "complaint_type", "status")
 
 
@@ -106,8 +126,9 @@ def q6_active_age(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def agency_status_range_count(spark: SparkSession, folder: str) -> DataFrame:
+    months = serving.months_upto("1999-01-01") & ~serving.months_upto("1997-12-31")
     return serving.count_in_range(
-        layers.detail(spark, folder), "MACHINERY", "Open", "1998-01-01", "1999-01-01"
+        layers.detail(spark, folder).filter(months), "MACHINERY", "Open", "1998-01-01", "1999-01-01"
     )
 
 
@@ -142,8 +163,7 @@ def custom_rank_order(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reconciliation_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    now = frames.current(spark, folder)
-    before = frames.first_current(spark, folder)
+    now, before = layers.detail(spark, folder), layers.after_run_1(spark, folder)
     return gaps(now, marts.daily_summary(now), before)
 
 
@@ -153,6 +173,7 @@ QUERIES = {
     "ads_daily_status": ads_daily_status,
     "ads_agency_status": ads_agency_status,
     "ads_complaint": ads_complaint,
+    **{f"{name}_maintained": _maintained(name) for name in marts.SERVING},
     "q3_daily_trend_ads": q3_daily_trend_ads,
     "q4_top_complaints": q4_top_complaints,
     "q8_agency_borough": q8_agency_borough,
@@ -176,7 +197,22 @@ QUERIES = {
 _DAY = "cast(created_date AS date) AS created_day"
 _MONTHS = "SELECT month(created_date) AS month, count(*) AS ticket_count FROM cur GROUP BY 1"
 
+# Current tickets after both runs, with all columns.
+_BOTH = """, joint AS (
+  SELECT * FROM run2 UNION ALL
+  SELECT * FROM run1 o WHERE NOT EXISTS (SELECT 1 FROM run2 n WHERE n.unique_key = o.unique_key)
+)"""
+
 ORACLE = {
+    "ads_daily_status_maintained": over_runs(
+        f"SELECT 2::bigint AS release_id, {_DAY}, status, count(*) AS ticket_count FROM joint GROUP BY ALL", _BOTH
+    ),
+    "ads_agency_status_maintained": over_runs(
+        "SELECT 2::bigint AS release_id, agency, borough, status, count(*) AS ticket_count FROM joint GROUP BY ALL", _BOTH
+    ),
+    "ads_complaint_maintained": over_runs(
+        "SELECT 2::bigint AS release_id, complaint_type, count(*) AS ticket_count FROM joint GROUP BY ALL", _BOTH
+    ),
     "q3_daily_trend": over_tickets(f"SELECT {_DAY}, count(*) AS ticket_count FROM cur GROUP BY 1"),
     "dws_created_daily": over_tickets(
         f"SELECT {_DAY}, agency, borough, status, count(*) AS ticket_count FROM cur GROUP BY ALL"

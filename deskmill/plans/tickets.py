@@ -117,6 +117,10 @@ def run_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def run_report_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.counts_by_month_and_flag(layers.detail(spark, folder))
+
+
 def current_month_counts(spark: SparkSession, folder: str) -> DataFrame:
     return (
         layers.detail(spark, folder)
@@ -261,6 +265,19 @@ def duration_quantiles_approx(spark: SparkSession, folder: str) -> DataFrame:
     return profile.approximate_percentiles(_durations(spark, folder), hours, _FRACTIONS)
 
 
+_SKETCHED = (1996, 1998)  # years of which the quantiles are asked
+
+
+def quantiles_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantiles of some years, merged from a stored sketch per month; one pass over the
+    values of those years tells whether their ranks are as near as the sketch promises."""
+    years = F.col("created_year").between(*_SKETCHED)
+    found = profile.merged_quantiles(layers.duration_sketches(spark, folder).filter(years), list(_FRACTIONS.values()))
+    closed = layers.detail(spark, folder).filter(years & layers.closed_in_order())
+    seconds = closed.select(elapsed("SECOND", F.col("created_date"), F.col("closed_date")).alias("seconds"))
+    return profile.rank_check(seconds, "seconds", found)
+
+
 def storage_estimate(spark: SparkSession, folder: str) -> DataFrame:
     return storage_projection(raw_tickets(spark, folder).drop("observation"))
 
@@ -308,6 +325,8 @@ QUERIES = {
     "flag_histogram": flag_histogram,
     "flagged_rows": flagged_rows,
     "run_report": run_report,
+    "run_report_counts": run_report_counts,
+    "quantiles_from_sketches": quantiles_from_sketches,
     "current_month_counts": current_month_counts,
     "pruned_month_status": pruned_month_status,
     "source_extent": source_extent,
@@ -425,6 +444,22 @@ GROUP BY flag"""
   (SELECT count(*) FROM cur WHERE quality_flags <> '') AS flagged_rows,
   (SELECT count(DISTINCT (created_year, created_month)) FROM cur) AS months,
   (SELECT count(*) FROM (SELECT DISTINCT cast(created_date AS date), agency, borough, status FROM cur)) AS dws_rows"""
+    ),
+    "run_report_counts": over_tickets(
+        """SELECT 'month' AS kind, strftime(created_date, '%Y-%m') AS name, count(*) AS row_count FROM cur GROUP BY 2
+UNION ALL
+SELECT 'flag', flag, count(*) FROM (SELECT unnest(string_split(quality_flags, ',')) AS flag FROM cur WHERE quality_flags <> '')
+GROUP BY flag"""
+    ),
+    "quantiles_from_sketches": over_tickets(
+        f"""SELECT f AS fraction, (SELECT count(*) FROM d) AS value_count,
+  (SELECT count(*) FILTER (s < q) / count(*) FROM d) <= f + {profile.SKETCH_ERROR}
+    AND (SELECT count(*) FILTER (s <= q) / count(*) FROM d) >= f - {profile.SKETCH_ERROR} AS within_error
+FROM ({" UNION ALL ".join(f"SELECT {p}::double AS f, quantile_disc(s, {p}) AS q FROM d" for p in _FRACTIONS.values())})""",
+        f""", d AS (
+  SELECT datesub('second', created_date, closed_date) AS s FROM cur
+  WHERE upper(status) = 'CLOSED' AND closed_date >= created_date AND created_year BETWEEN {_SKETCHED[0]} AND {_SKETCHED[1]}
+)""",
     ),
     "current_month_counts": over_tickets(
         "SELECT created_year, created_month, count(*) AS row_count FROM cur GROUP BY ALL"
