@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from deskmill.session import materialize
+from deskmill.session import written
 
 
 def neighbours(edges: DataFrame, assets: DataFrame, asset_key: str) -> DataFrame:
@@ -50,7 +50,7 @@ def closure(edges: DataFrame, starts: DataFrame) -> DataFrame:
     checkpoint folder, which keeps the plan short and the work safe.
     """
     step = edges.select(F.col("upstream").alias("_from"), F.col("downstream").alias("_to")).distinct()
-    step = materialize(step)
+    step = written(step)
     from_start = step.join(starts.select(F.col("asset_key").alias("_from")).distinct(), "_from", "left_semi")
     newest = from_start.select(
         F.col("_from").alias("ancestor"), F.col("_to").alias("descendant"), F.lit(1).alias("depth")
@@ -63,7 +63,7 @@ def closure(edges: DataFrame, starts: DataFrame) -> DataFrame:
             .distinct()
             .join(found, ["ancestor", "descendant"], "left_anti")
         )
-        newest = materialize(grown)
+        newest = written(grown)
         if newest.isEmpty():
             return found
         found = found.unionByName(newest)
@@ -77,12 +77,12 @@ def cyclic_core(edges: DataFrame) -> DataFrame:
     cycle and the ways between them. Rounds grow with the depth of the graph, not with
     its size, and each works only on what is left.
     """
-    left = materialize(edges.select("upstream", "downstream").distinct())
+    left = written(edges.select("upstream", "downstream").distinct())
     size = left.count()
     while size:
         heads = left.select(F.col("downstream").alias("upstream")).distinct()
         tails = left.select(F.col("upstream").alias("downstream")).distinct()
-        left = materialize(left.join(heads, "upstream", "left_semi").join(tails, "downstream", "left_semi"))
+        left = written(left.join(heads, "upstream", "left_semi").join(tails, "downstream", "left_semi"))
         smaller = left.count()
         if smaller == size:
             break
@@ -94,15 +94,80 @@ def _spread(values: DataFrame, edges: DataFrame, name: str) -> DataFrame:
     """``values`` (node, ``name``) after each node took the largest one that reaches it."""
     while True:
         sent = edges.join(values, F.col("upstream") == F.col("node")).select(F.col("downstream").alias("node"), name)
-        after = materialize(values.unionByName(sent).groupBy("node").agg(F.max(name).alias(name)))
+        after = written(values.unionByName(sent).groupBy("node").agg(F.max(name).alias(name)))
         if after.exceptAll(values).isEmpty():
             return after
         values = after
 
 
+def _passed(graph: DataFrame, turn: int) -> DataFrame:
+    """Nodes with one way in and one way out, no two of them neighbours: ``node``, ``before``,
+    ``after``. In a row of such nodes those go whose hash is smaller than both neighbours',
+    about a third of them."""
+    into = graph.groupBy(F.col("downstream").alias("node")).agg(F.count("*").alias("n"), F.min("upstream").alias("before"))
+    out = graph.groupBy(F.col("upstream").alias("node")).agg(F.count("*").alias("m"), F.min("downstream").alias("after"))
+    place = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("k")).alias("place")
+    rows = written(into.join(out, "node").filter("n = 1 AND m = 1").select("node", "before", "after", place))
+    near = rows.select("node", "place")
+    beside = rows.alias("r")
+    for side in ("before", "after"):
+        other = near.select(F.col("node").alias(side), F.col("place").alias(f"_{side}"))
+        beside = beside.join(other, side, "left")
+    first = [F.col(f"_{side}").isNull() | (F.col("place") < F.col(f"_{side}")) for side in ("before", "after")]
+    return beside.filter(first[0] & first[1]).select("node", "before", "after")
+
+
+def contracted(edges: DataFrame) -> tuple[DataFrame, list[DataFrame], DataFrame | None]:
+    """The graph without rows of single ways, however long, in a number of rounds that grows
+    with the logarithm of their length.
+
+    A node with one way in and one way out is taken out and its two edges become one, which
+    is on a cycle exactly if they are; edges that lead nowhere or come from nowhere go. Returns
+    the graph that is left, per round the edges that became another one, and the loops that
+    closed (edges from a node to itself), which are cycles.
+    """
+    loop = F.col("upstream") == F.col("downstream")
+    left = written(edges.select("upstream", "downstream").distinct())
+    loops, moves = left.filter(loop), []
+    graph = written(left.filter(~loop))
+    while not graph.isEmpty():
+        passed = written(_passed(graph, len(moves)))
+        if passed.isEmpty():
+            break
+        starts = passed.select(F.col("node").alias("upstream"), F.col("before").alias("_up"))
+        ends = passed.select(F.col("node").alias("downstream"), F.col("after").alias("_down"))
+        moved = graph.join(starts, "upstream", "left").join(ends, "downstream", "left").select(
+            "upstream", "downstream",
+            F.coalesce("_up", "upstream").alias("new_up"), F.coalesce("_down", "downstream").alias("new_down"),
+        )
+        moved = written(moved)
+        moves.append(moved.filter("upstream <> new_up OR downstream <> new_down"))
+        after = moved.select(F.col("new_up").alias("upstream"), F.col("new_down").alias("downstream")).distinct()
+        loops = loops.unionByName(after.filter(loop))
+        heads = after.select(F.col("downstream").alias("upstream")).distinct()
+        tails = after.select(F.col("upstream").alias("downstream")).distinct()
+        graph = written(after.filter(~loop).join(heads, "upstream", "left_semi").join(tails, "downstream", "left_semi"))
+    return graph, moves, loops
+
+
 def cycle_edges(edges: DataFrame) -> DataFrame:
     """The edges that lie on a cycle; none exactly if the graph is free of cycles.
 
+    Long rows of single ways are drawn together first; what is found on the rest is then
+    carried back, round by round, to the edges it stands for.
+    """
+    graph, moves, loops = contracted(edges)
+    found = written(loops.unionByName(_knot_edges(graph)).distinct())
+    for moved in reversed(moves):
+        became = found.select(F.col("upstream").alias("new_up"), F.col("downstream").alias("new_down"))
+        back = moved.join(became, ["new_up", "new_down"], "left_semi").select("upstream", "downstream")
+        found = written(found.unionByName(back).distinct())
+    return found.join(edges.select("upstream", "downstream").distinct(), ["upstream", "downstream"], "left_semi")
+
+
+def _knot_edges(edges: DataFrame) -> DataFrame:
+    """The edges on cycles of a graph without rows of single ways.
+
     What trimming leaves also holds the ways between cycles. There, every node takes the
     largest name that reaches it; the nodes that reach the bearer of their name, by nodes
     of the same name, are on cycles with it. Their edges are kept, they are taken out, and
@@ -113,7 +178,7 @@ def cycle_edges(edges: DataFrame) -> DataFrame:
         nodes = left.select(F.col("upstream").alias("node")).unionByName(left.select(F.col("downstream").alias("node")))
         colour = _spread(nodes.distinct().withColumn("colour", F.col("node")), left, "colour")
         up, down = colour.alias("u"), colour.alias("d")
-        inner = materialize(
+        inner = written(
             left.join(up, F.col("upstream") == F.col("u.node"))
             .join(down, F.col("downstream") == F.col("d.node"))
             .filter("u.colour = d.colour")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +52,18 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Like ``materialize``, for loops of many rounds: a table in the checkpoint folder.
+
+    A checkpoint keeps the size estimates and constraints of the plan before it. Those of
+    joins multiply from round to round; a table starts again from the size of its files.
+    The files go when the session ends.
+    """
+    spark = df.sparkSession
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/round-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,6 +124,49 @@ def test_cycle_edges_leave_bridges_out(spark):
     assert sorted(map(tuple, found)) == [("a", "b"), ("b", "a"), ("c", "d"), ("d", "c"), ("z", "z")]
 
 
+def on_cycles(pairs):
+    reach = {}
+    for a, b in pairs:
+        reach.setdefault(a, set()).add(b)
+
+    def below(node):
+        seen, left = set(), [node]
+        while left:
+            for n in reach.get(left.pop(), ()):
+                if n not in seen:
+                    seen.add(n)
+                    left.append(n)
+        return seen
+
+    under = {n: below(n) for n in {x for p in pairs for x in p}}
+    return sorted({(a, b) for a, b in pairs if a in under[b] or a == b})
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_cycle_edges_of_random_graphs(spark, seed):
+    draw = random.Random(seed)
+    nodes = [f"n{i}" for i in range(40)]
+    pairs = [(draw.choice(nodes), draw.choice(nodes)) for _ in range(45)]
+    pairs += [(f"r{i}", f"r{(i + 1) % 9}") for i in range(9)] + [(f"t{i}", f"t{i + 1}") for i in range(9)]
+    pairs += [("t9", nodes[0]), (nodes[1], "r0"), ("r4", nodes[2]), ("r0", "r2")]
+    assert sorted(map(tuple, lineage.cycle_edges(edges(spark, *pairs)).collect())) == on_cycles(pairs)
+
+
+def test_a_long_ring_takes_few_rounds(spark):
+    n = 100_000
+    ring = spark.range(n).select(
+        F.concat(F.lit("a"), F.col("id").cast("string")).alias("upstream"),
+        F.concat(F.lit("a"), ((F.col("id") + 1) % n).cast("string")).alias("downstream"), F.lit("t").alias("transform"),
+    )
+    tail = spark.range(500).select(
+        F.concat(F.lit("a"), (-F.col("id")).cast("string")).alias("upstream"),
+        F.concat(F.lit("a"), (-F.col("id") - 1).cast("string")).alias("downstream"), F.lit("t").alias("transform"),
+    )
+    graph, moves, loops = lineage.contracted(ring.unionByName(tail))
+    assert len(moves) <= 40 and graph.isEmpty() and loops.count() == 1
+    assert lineage.cycle_edges(ring.limit(2000).unionByName(tail)).isEmpty()
+
+
 def config(tmp_path, **changed):
     asset = {"layer": "l", "storage_type": "s", "physical_name": "p", "owner": "o"}
     body = {
