@@ -36,7 +36,7 @@ class Encoder:
     which later tasks of the same worker share.
     """
 
-    def __init__(self, text: str, most: int = 800_000) -> None:
+    def __init__(self, text: str, most: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         memory = sys.modules.setdefault("_deskmill_words", SimpleNamespace(of=None, words={}, cores={}))
         if memory.of != hash(text):
