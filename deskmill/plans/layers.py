@@ -88,6 +88,11 @@ def _layer(
     return spark.read.schema(schema).parquet(path).select(schema.names)
 
 
+def place(spark: SparkSession, folder: str, name: str) -> str:
+    """Where a layer lies, or would lie."""
+    return f"{_root(spark, folder)}/{input_state(spark, folder)}/{name}"
+
+
 def remove_old(spark: SparkSession, folder: str, keep: int = 2) -> int:
     """Delete all but the newest ``keep`` states of this input folder; returns how many."""
     place, files = _file_system(spark, _root(spark, folder))

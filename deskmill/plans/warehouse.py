@@ -10,7 +10,7 @@ from deskmill.operators import governance as gov
 from deskmill.operators import lineage, marts
 from deskmill.operators.normalize import enrich, normalize
 from deskmill.operators.pages import order_violations, reconcile
-from deskmill.operators.profile import one_row
+from deskmill.operators.profile import counts_by_month_and_flag, one_row
 from deskmill.operators.versions import latest_version, repeated_keys
 from deskmill.schema import LOCAL_ZONE
 from deskmill.session import materialize
@@ -57,6 +57,7 @@ def transform(
         ]
     )
     sinks.write_report(report, f"{out}/report")
+    sinks.write_report(counts_by_month_and_flag(current), f"{out}/report_counts")
     return spark.read.schema(report.schema).json(f"{out}/report")
 
 
@@ -139,9 +140,14 @@ def quality_run(
         raise ValueError(f"rule definitions are not valid: {bad_rules.first()}")
     metrics = gov.rule_metrics(detail, summary, current, scope_year)
     rows = gov.result_rows(gov.evaluate_rules(metrics, config.rules), F.lit(run_id))
-    # A partition per run, so that a run that is repeated replaces its own rows only.
-    rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "dq_run_id"
-    ).parquet(f"{out}/dq_result")
-    stored = detail.sparkSession.read.parquet(f"{out}/dq_result")
-    return gov.verdict(stored.filter(F.col("dq_run_id") == run_id))
+    _replace_run(rows, f"{out}/dq_result")
+    stored = detail.sparkSession.read.parquet(f"{out}/dq_result").filter(F.col("dq_run_id") == run_id)
+    checked = metrics.select("dwd_row_count").scalar()
+    run = gov.run_row(stored, F.lit(run_id), f"dq-{config.release_key}-{run_id}", config.release_key, checked)
+    _replace_run(run, f"{out}/dq_run")  # after its results: a run row stands for whole results
+    return gov.verdict(stored)
+
+
+def _replace_run(rows: DataFrame, path: str) -> None:
+    """A partition per run, so that a run that is repeated replaces its own rows only."""
+    rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dq_run_id").parquet(path)

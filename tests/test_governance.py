@@ -193,6 +193,18 @@ def test_quality_run(spark, tickets, tmp_path):
     more = tickets({}, {"unique_key": "2"})
     assert quality_run(found, more, daily_summary(more), more, 2025, 2, str(tmp_path / "out")).first().status == "FAILED"
     assert spark.read.parquet(str(tmp_path / "out" / "dq_result")).count() == 2
+    runs = spark.read.parquet(str(tmp_path / "out" / "dq_run")).orderBy("dq_run_id").collect()
+    assert [(r.dq_run_id, r.run_key, r.release_key, r.status, r.checked_rows, r.passed_rules, r.warning_rules, r.failed_rules) for r in runs] == [
+        (1, "dq-r-1", "r", "PASSED", 1, 1, 0, 0), (2, "dq-r-2", "r", "FAILED", 2, 0, 0, 1),
+    ]
+    assert all(r.finished_at for r in runs)
+
+
+def test_stored_catalog(spark, tmp_path):
+    spark.range(5).withColumn("x", F.lit(1)).write.parquet(str(tmp_path / "here"))
+    got = gov.stored_catalog(spark, {"a": ("detail", str(tmp_path / "here")), "b": ("service", str(tmp_path / "gone"))})
+    assert sorted(map(tuple, got.collect())) == [("a", "detail", 5, 2, "AVAILABLE"), ("b", "service", None, None, "MISSING")]
+    assert "ReadSchema: struct<>" in got._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("pairs", [[("a", "zz")], [("a", "b"), ("b", "a")], [("a", "a")]])
