@@ -23,7 +23,7 @@ BUCKETS, WIDTH, HIDDEN, LOOK = 1 << 14, 4, 6, 4
 SAMPLE_ROWS, SAMPLE_BYTES = 2_400, 32_768  # training: rows of each label, bytes of a text
 EPOCHS, STEPS, BATCH, RATE, SEED = 7, 300, 96, 0.02, 7  # at least so many rounds and steps
 CHANNELS = 2 * WIDTH + 2
-SLICE = 16_384  # words whose character groups training looks at together
+SLICE = 16_384  # words whose character groups are looked at together
 TOKEN = re.compile(r"\w+")
 
 
@@ -368,7 +368,9 @@ class Scorer:
             begin = len(self.place)
             while begin + len(new) > self.gates.shape[1]:
                 self.gates = np.concatenate([self.gates, np.zeros_like(self.gates)], axis=1)
-            self.gates[:, begin : begin + len(new)] = self.net.project(self.net.vectors(new))
+            for at in range(0, len(new), SLICE):
+                part = new[at : at + SLICE]
+                self.gates[:, begin + at : begin + at + len(part)] = self.net.project(self.net.vectors(part))
             self.place |= {w: begin + i for i, w in enumerate(new)}
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
 
