@@ -31,13 +31,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies.
+    """One row of each group of near copies, the one with the smallest doc_id (null last).
 
-    Rows of one doc_id are one document; rows without a doc_id stay.
+    Every row is a document by its own text, whether its doc_id is repeated or missing.
     """
-    docs = docs.select(COLUMNS)
-    kept = near_dedup(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(COLUMNS).unionByName(docs.filter("doc_id IS NULL"))
+    rows = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")))
+    groups = near_dedup(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"]
+    kept = rows.select("row", "doc_id").join(groups, "row").groupBy("component_id").agg(first.alias("row"))
+    return rows.join(kept, "row", "left_semi").select(COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
