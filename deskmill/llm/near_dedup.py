@@ -22,6 +22,7 @@ BANDS, ROWS = 40, 5  # at 0.75 a link is missed with at most 2 in 100,000, at 0.
 BITS = 256  # signature values of which one bit each is compared before the full sets
 MARKS = ["s0", "s1", "s2", "s3"]
 SEED = 20_26
+KNOWN = 100_000  # words whose hashes a task remembers
 
 
 def shingles(text: bytes | None, known: dict[bytes, int], size: int = WORDS) -> np.ndarray:
@@ -29,7 +30,7 @@ def shingles(text: bytes | None, known: dict[bytes, int], size: int = WORDS) ->
     words = (text or b"").lower().split()  # bytes: A-Z and the six ASCII blanks
     if not words:
         return np.zeros(0, np.uint64)
-    if len(known) > 500_000:
+    if len(known) > KNOWN:
         known.clear()
     for w in set(words):
         if w not in known:
@@ -82,8 +83,8 @@ def _sketches(docs: DataFrame, bands: int, rows: int) -> DataFrame:
         number = np.arange(bands, dtype=np.uint64)
         for batch in batches:
             sizes, digests, buckets, marks = [], [], [], []
-            for text in batch.column("text").cast(pa.large_binary()).to_pylist():
-                hashes = shingles(text, known)
+            for text in batch.column("text").cast(pa.large_binary()):  # one at a time in Python's memory
+                hashes = shingles(text.as_py(), known)
                 sizes.append(len(hashes))
                 digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                 if not len(hashes):
@@ -122,50 +123,20 @@ def _alike(x: str, y: str, percent: int) -> Column:
     return sum(differing[1:], differing[0]) <= int(limit)
 
 
-def _id_filter(ids: DataFrame, most: int = 1 << 27) -> np.ndarray:
-    """Bloom filter over ``h``, a 64-bit hash of each id; at most ``most`` bits."""
-    bits = 1 << 16
-    while bits < min(most, 16 * ids.count()):
-        bits *= 2
-    both = F.array(*[F.shiftrightunsigned("h", k).bitwiseAND(F.lit(bits - 1)) for k in (0, 32)])
-    words = (
-        ids.select(F.explode(both).alias("p"))
-        .groupBy(F.shiftright("p", 6).alias("w"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("m"))
-    )
-    found = np.zeros(bits // 64, np.int64)
-    for row in words.toLocalIterator():
-        found[row.w] = row.m
-    return found.view(np.uint64)
-
-
 def _full_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``node``, ``hashes``: the full sets of the documents in ``pairs`` (and of the few
-    that the filter takes for one of them, which no later join finds).
-
-    The texts stay where they are read; only sets travel. The filter is bounded: with more
-    documents in pairs than it suits, more sets travel.
-    """
-    hashed = F.xxhash64("node").alias("h")
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    shown = docs.sparkSession.sparkContext.broadcast(_id_filter(ends.distinct().select(hashed)))
+    """``node``, ``hashes``: the full sets of the documents in ``pairs``."""
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for batch in batches:
-            h = batch.column("h").to_numpy().view(np.uint64)
-            wanted = np.ones(len(h), np.bool_)
-            for shift in (0, 32):
-                p = (h >> np.uint64(shift)) & np.uint64(64 * len(shown.value) - 1)
-                wanted &= (shown.value[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)) > 0
-            batch = batch.filter(pa.array(wanted))
-            texts = batch.column("text").cast(pa.large_binary()).to_pylist()
+            texts = batch.column("text").cast(pa.large_binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([shingles(t, known).tobytes() for t in texts], pa.binary())],
+                [batch.column("node"), pa.array([shingles(t.as_py(), known).tobytes() for t in texts], pa.binary())],
                 names=["node", "hashes"],
             )
 
-    return docs.select("node", "text", hashed).mapInArrow(full, "node bigint, hashes binary")
+    return docs.join(ends, "node", "left_semi").select("node", "text").mapInArrow(full, "node bigint, hashes binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -176,8 +147,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for x, y in zip(batch.column("ha").to_pylist(), batch.column("hb").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column("ha"), batch.column("hb")):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))

@@ -357,7 +357,7 @@ def train(texts: Iterable[str], labels: list[int]) -> Network | None:
 class Scorer:
     """Scores texts; gate inputs are computed once per word and kept, up to a bound."""
 
-    def __init__(self, net: Network, most: int = 200_000) -> None:
+    def __init__(self, net: Network, most: int = 100_000) -> None:
         self.net, self.most = net, most
         self.place: dict[str, int] = {}
         self.gates = np.zeros((2, 1024, 3 * HIDDEN), np.float32)
@@ -374,10 +374,10 @@ class Scorer:
             self.place |= {w: begin + i for i, w in enumerate(new)}
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
-        """Highest window score of each text; texts are read some hundred thousand words
+    def scores(self, texts: Iterable[str | None], number: int | None = None) -> np.ndarray:
+        """Highest window score of each of ``number`` texts (a list needs none); they are read some hundred thousand words
         at a time, and a text that is cut there goes on with its last window."""
-        best = np.full(len(texts), -np.inf, np.float32)
+        best = np.full(len(texts) if number is None else number, -np.inf, np.float32)
         words: list[str] = []
         spans: list[tuple[int, int, int]] = []  # text, start, length
 
@@ -403,7 +403,7 @@ class Scorer:
                 spans.append((i, len(words), len(found)))
                 words += found
                 tail = found[-WINDOW:]
-                if len(words) > 200_000:
+                if len(words) > 100_000:
                     flush()
         if spans:
             flush()
@@ -464,8 +464,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(Network(**shown.value)) if shown.value else None
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = scorer.scores(texts) if scorer else np.zeros(len(texts))
+            texts = batch.column("text")
+            found = scorer.scores((t.as_py() for t in texts), len(texts)) if scorer else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.asarray(found, np.float64))], names=[*names, "score"]
             )
