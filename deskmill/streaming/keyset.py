@@ -1,18 +1,20 @@
 """Streaming source over keyset pages, resumable at a (created_date, unique_key) cursor.
 
 The pages are Parquet files in a shared folder (any file system Arrow can open) next to a
-manifest with one JSON line per page: file, rows, first and last key. The driver only
-reads the manifest; each page is one partition and is read by a task, in Arrow batches.
+manifest, itself Parquet in key order: file, rows, first and last key of every page, in row
+groups of ``GROUP`` pages. The driver reads footers only: the highest key of all row groups
+is the newest offset, and a row group whose keys meet a batch is a partition of it. The task
+reads its row group, then the pages in the batch, in Arrow batches.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
@@ -20,6 +22,8 @@ from deskmill.operators.pages import manifest, paged
 
 ORDER = ["created_date", "unique_key"]
 START = ["", ""]
+GROUP = 64  # pages of a partition
+BREAK = "\0"  # below every character, so joined keys are ordered as pairs are
 
 
 def write_pages(rows: DataFrame, folder: str, page_rows: int) -> None:
@@ -30,57 +34,78 @@ def write_pages(rows: DataFrame, folder: str, page_rows: int) -> None:
     ).parquet(f"{folder}/pages")
     stored = rows.sparkSession.read.parquet(f"{folder}/pages")
     listing = manifest(stored.withColumn("file", F.col("_metadata.file_path")), ["file"], ORDER)
-    flat = listing.select(
-        F.regexp_replace("file", "^file:/+", "file:///").alias("file"),
-        F.col("page").cast("bigint").alias("page"),
-        "row_count",
-        F.array("first_key.created_date", "first_key.unique_key").alias("first_key"),
-        F.array("last_key.created_date", "last_key.unique_key").alias("last_key"),
+    write_manifest(
+        listing.select(
+            F.regexp_replace("file", "^file:/+", "file:///").alias("file"),
+            F.col("page").cast("bigint").alias("page"),
+            "row_count",
+            _joined("first_key").alias("first"),
+            _joined("last_key").alias("last"),
+        ),
+        folder,
     )
-    flat.orderBy("page").coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
 
 
-class PagePartition(InputPartition):
-    def __init__(self, file: str) -> None:
-        super().__init__(file)
-        self.file = file
+def _joined(key: str) -> Column:
+    return F.concat_ws(BREAK, *[F.coalesce(f"{key}.{c}", F.lit("")) for c in ORDER])
+
+
+def write_manifest(listing: DataFrame, folder: str) -> None:
+    """Write (file, page, row_count, first, last) in the order of the keys."""
+    few = {"parquet.block.row.count.limit": GROUP, "parquet.page.row.count.limit": GROUP}
+    listing.orderBy("last").write.mode("overwrite").options(**few).parquet(f"{folder}/manifest")
+
+
+class GroupPartition(InputPartition):
+    """The pages of one row group of the manifest with a last key in (begin, end]."""
+
+    def __init__(self, path: str, group: int, begin: str, end: str) -> None:
+        super().__init__((path, group))
+        self.path, self.group, self.begin, self.end = path, group, begin, end
 
 
 class KeysetReader(DataSourceStreamReader):
     def __init__(self, schema: StructType, options: dict) -> None:
         self.names = schema.fieldNames()
         self.folder = options["path"]
-        self.seen = START
 
-    def _pages_after(self, cursor: list[str]) -> list[dict]:
+    def _groups(self) -> Iterator[tuple[str, int, str, str]]:
+        """File, number, lowest and highest last key of every row group, from the footers."""
         files, folder = fs.FileSystem.from_uri(f"{self.folder}/manifest")
-        found = []
         for part in files.get_file_info(fs.FileSelector(folder)):
-            if part.extension == "json" and not part.base_name.startswith((".", "_")):
-                with files.open_input_stream(part.path) as text:
-                    pages = map(json.loads, text.read().decode().splitlines())
-                    found += [p for p in pages if p["last_key"] > cursor]
-        return sorted(found, key=lambda p: p["first_key"])
+            if part.extension == "parquet" and not part.base_name.startswith((".", "_")):
+                with files.open_input_file(part.path) as file:
+                    footer = pq.ParquetFile(file).metadata
+                column = footer.schema.names.index("last")
+                for group in range(footer.num_row_groups):
+                    found = footer.row_group(group).column(column).statistics
+                    yield part.path, group, found.min, found.max
 
     def initialOffset(self) -> dict:
         return {"cursor": START}
 
     def latestOffset(self) -> dict:
         # All pages there are: an available-now run asks once and must reach the last one.
-        pages = self._pages_after(self.seen)
-        if pages:
-            self.seen = pages[-1]["last_key"]
-        return {"cursor": self.seen}
-
-    def partitions(self, start: dict, end: dict) -> list[PagePartition]:
-        self.seen = max(self.seen, end["cursor"])
-        pages = self._pages_after(start["cursor"])
-        return [PagePartition(p["file"]) for p in pages if p["last_key"] <= end["cursor"]]
-
-    def read(self, partition: PagePartition) -> Iterator:
-        files, path = fs.FileSystem.from_uri(partition.file)
-        with files.open_input_file(path) as page:
-            yield from pq.ParquetFile(page).iter_batches(columns=self.names)
+        newest = max((high for *_, high in self._groups()), default="")
+        return {"cursor": newest.split(BREAK) if newest else START}
+
+    def partitions(self, start: dict, end: dict) -> list[GroupPartition]:
+        begin, to = (BREAK.join(x["cursor"]) if x["cursor"] != START else "" for x in (start, end))
+        return [GroupPartition(path, n, begin, to) for path, n, low, high in self._groups() if high > begin and low <= to]
+
+    def pages(self, partition: GroupPartition) -> list[str]:
+        """Files of the partition's pages in the order of their keys."""
+        files, _ = fs.FileSystem.from_uri(self.folder)
+        with files.open_input_file(partition.path) as file:
+            rows = pq.ParquetFile(file).read_row_group(partition.group, columns=["file", "last"])
+        wanted = pc.and_(pc.greater(rows["last"], partition.begin), pc.less_equal(rows["last"], partition.end))
+        return rows.filter(wanted).sort_by("last")["file"].to_pylist()
+
+    def read(self, partition: GroupPartition) -> Iterator:
+        for name in self.pages(partition):
+            files, path = fs.FileSystem.from_uri(name)
+            with files.open_input_file(path) as page:
+                yield from pq.ParquetFile(page).iter_batches(columns=self.names)
 
     def commit(self, end: dict) -> None:
         pass

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import gzip
 import json
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from deskmill.sources.sinks import import_delimited
 from deskmill.sources.commit_log import CommitLog, ConcurrentCommit
 from deskmill.sources.store import TicketStore
 from deskmill.sources.tickets import raw_tickets
-from deskmill.streaming.keyset import page_source, write_pages
+from deskmill.streaming.keyset import GROUP, KeysetReader, page_source, write_manifest, write_pages
 from deskmill.streaming.merge import merge_pages
 
 
@@ -357,6 +358,53 @@ def test_keyset_stream_resumes(spark, raw, tmp_path):
     assert spark.read.parquet(out).columns == RAW_FIELDS
 
 
+def test_keyset_stream_goes_on_with_new_pages(spark, raw, tmp_path):
+    """Pages that come later are read alone; keys that are prefixes of others keep their order."""
+    folder, out = str(tmp_path / "source"), str(tmp_path / "out")
+    keys = ["1", "10", "100", "11", "2", "20", "3"]
+
+    def rows(names):
+        return raw(*[{"unique_key": k, "created_date": "2025-01-01T00:00:00.000"} for k in names])
+
+    def run():
+        query = page_source(spark, folder, RAW_SCHEMA).writeStream.format("parquet").option("path", out).option(
+            "checkpointLocation", str(tmp_path / "ck")
+        ).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return sorted(r.unique_key for r in spark.read.schema(RAW_SCHEMA).parquet(out).collect())
+
+    write_pages(rows(keys[:4]), folder, 2)
+    assert run() == keys[:4]
+    write_pages(rows(keys), folder, 2)
+    assert run() == keys
+
+
+def test_large_manifest_stays_off_the_driver(spark, tmp_path):
+    """100,000 pages: the driver learns row groups, and a task the pages of its own."""
+    folder = str(tmp_path)
+    key = "concat('2025-01-01T00:00:00.000', chr(0), lpad({}, 9, '0'))"
+    pages = spark.range(100_000).selectExpr(
+        "concat('file:///p', id) AS file", "id AS page", "2L AS row_count",
+        f"{key.format('2 * id')} AS first", f"{key.format('2 * id + 1')} AS last",
+    )
+    write_manifest(pages.repartition(3), folder)
+    reader = KeysetReader(RAW_SCHEMA, {"path": folder})
+    tracemalloc.start()
+    end = reader.latestOffset()
+    every = reader.partitions(reader.initialOffset(), end)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert end["cursor"] == ["2025-01-01T00:00:00.000", "000199999"] and peak < 8_000_000
+    assert len(every) < 100_000 / GROUP + 64
+    # A batch in the middle: only the row groups that meet it, and of them only its pages.
+    middle = [{"cursor": ["2025-01-01T00:00:00.000", f"{2 * n + 1:09d}"]} for n in (49_999, 50_199)]
+    few = reader.partitions(*middle)
+    found = [f for p in few for f in reader.pages(p)]
+    assert len(few) <= 200 // GROUP + 3 and sorted(found) == [f"file:///p{i}" for i in range(50_000, 50_200)]
+    assert max(len(reader.pages(p)) for p in few) <= GROUP
+    assert reader.partitions(end, end) == []
+
+
 def test_latest_version_by_chunk(tickets):
     rows = tickets({}, {":updated_at": "2025-02-01T00:00:00.000Z"}).withColumn("chunk_key", F.lit("a"))
     more = tickets({}).withColumn("chunk_key", F.lit("b"))
