@@ -51,6 +51,7 @@ RULE_KEY_PATTERN = "^[A-Za-z0-9_-]+$"
 RUN_STATUSES = ["RUNNING", "SUCCEEDED", "FAILED"]
 CHUNK_STATUSES = ["RUNNING", "COMMITTED", "FAILED"]
 RELEASE_STATUSES = ["CANDIDATE", "ACTIVE", "REJECTED"]
+ASSET_STATUSES = ["ACTIVE", "INACTIVE"]
 DQ_RUN_STATUSES = ["RUNNING", "PASSED", "FAILED"]
 DQ_RESULT_STATUSES = ["PASS", "WARN", "FAIL"]
 JOB_STATUSES = ["QUEUED", "RUNNING", "SUCCEEDED", "FAILED"]

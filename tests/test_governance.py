@@ -213,3 +213,72 @@ def test_quality_run_refuses_bad_lineage(spark, tickets, tmp_path, pairs):
     found = read_governance(spark, config(tmp_path, lineage=bad), name_field="name_xx")
     with pytest.raises(ValueError):
         quality_run(found, tickets({}), tickets({}), tickets({}), 2025, 1, str(tmp_path / "out"))
+
+
+PLANTED = {
+    "pipeline_run": (
+        "run_key string, status string, staged_rows bigint, inserted_rows bigint, started_at timestamp, finished_at timestamp",
+        [("a", "SUCCEEDED", 5, 5, "2025-01-01", "2025-01-02"), ("b", "RUNNING", 0, 0, "2025-01-01", None)],
+        {
+            "run_key_missing": (" ", "FAILED", 0, 0, "2025-01-01", None),
+            "status_unknown": ("c", "succeeded", 0, 0, "2025-01-01", None),
+            "staged_rows_negative": ("d", "FAILED", -1, 0, "2025-01-01", None),
+            "inserted_rows_negative": ("e", "FAILED", 0, -1, "2025-01-01", None),
+            "run_key_too_long": ("x" * 101, "FAILED", 0, 0, "2025-01-01", None),
+            "ends_before_start": ("f", "FAILED", 0, 0, "2025-01-02", "2025-01-01"),
+        },
+    ),
+    "pipeline_chunk": (
+        "run_id bigint, chunk_key string, status string, row_count bigint, updated_rows bigint",
+        [(1, "m", "COMMITTED", 3, 1), (1, "n", "RUNNING", 0, 0), (2, "m", "FAILED", None, None)],
+        {
+            "run_id_missing": (None, "m", "RUNNING", 0, 0), "chunk_key_missing": (1, None, "RUNNING", 0, 0),
+            "status_unknown": (1, "m", "SUCCEEDED", 0, 0), "row_count_negative": (1, "m", "RUNNING", -3, 0),
+            "updated_rows_negative": (1, "m", "RUNNING", 0, -3), "chunk_key_too_long": (1, "k" * 161, "RUNNING", 0, 0),
+        },
+    ),
+    "release_registry": (
+        "release_key string, status string, row_count bigint",
+        [("r", "ACTIVE", 1), ("s", "CANDIDATE", 0), ("t", "REJECTED", None)],
+        {
+            "release_key_missing": ("", "ACTIVE", 1), "status_unknown": ("u", "RETIRED", 1),
+            "row_count_negative": ("v", "ACTIVE", -1), "release_key_too_long": ("w" * 101, "ACTIVE", 1),
+        },
+    ),
+    "data_lineage": (
+        "upstream string, downstream string",
+        [("a", "b"), ("b", "a")],
+        {"upstream_missing": (None, "a"), "downstream_missing": ("a", " "), "same_ends": ("a", "a")},
+    ),
+    "dq_rule": (
+        "rule_key string, severity string",
+        [("DQ001", "BLOCK"), ("DQ002", "WARN")],
+        {"rule_key_missing": (None, "WARN"), "severity_unknown": ("DQ003", "INFO"), "rule_key_too_long": ("D" * 21, "WARN")},
+    ),
+    "dq_result": (
+        "rule_key string, result_status string",
+        [("DQ001", "PASS"), ("DQ002", "WARN"), ("DQ003", "FAIL")],
+        {"rule_key_missing": (None, "PASS"), "result_status_unknown": ("DQ004", "SKIP"), "rule_key_too_long": ("D" * 21, "PASS")},
+    ),
+    "quality_job": (
+        "job_key string, status string, max_retries int",
+        [("j", "QUEUED", 5), ("k", "RUNNING", 0), ("l", "FAILED", None)],
+        {"job_key_missing": (None, "QUEUED", 1), "status_unknown": ("m", "PAUSED", 1), "max_retries_over_limit": ("n", "QUEUED", 6)},
+    ),
+}
+
+
+def test_domains_find_each_planted_row_and_nothing_else(spark):
+    def frame(schema, rows):
+        text = schema.replace("timestamp", "string")
+        made = spark.createDataFrame(rows, text)
+        clocks = [c.split()[0] for c in schema.split(", ") if c.endswith("timestamp")]
+        return made.withColumns({c: F.to_timestamp(c) for c in clocks}) if clocks else made
+
+    clean = {name: frame(schema, good) for name, (schema, good, _) in PLANTED.items()}
+    assert {r.violations for r in gov.domain_checks(clean).collect()} == {0}
+    bad = {name: frame(schema, good + list(rows.values())) for name, (schema, good, rows) in PLANTED.items()}
+    got = {(r.table_name, r.check_name): r.violations for r in gov.domain_checks(bad).collect()}
+    assert got == {(name, check): 1 for name, (_, _, rows) in PLANTED.items() for check in rows}
+    empty = {name: rows.limit(0) for name, rows in clean.items()}
+    assert {r.violations for r in gov.domain_checks(empty).collect()} == {0}
