@@ -1,9 +1,10 @@
 """Sources mixed to target weights, block by block.
 
 The words of a source, in an order set by hashes, are cut into fixed blocks. An output
-shard has a fixed number of slots; each draws its source, and the slots of a source walk
-through a pseudorandom permutation of its block numbers, one pass after the other. Blocks
-and slots meet by source and number.
+shard has a fixed number of slots, and how many of them each source has is drawn from a
+multinomial, given the sums over all shards. The slots of a source walk through a
+pseudorandom permutation of its block numbers, one pass after the other. Blocks and slots
+meet by source and number.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from deskmill.llm.common import WORD, let, n_words, running_start, stored, table
 
 BLOCK = 64  # words
-SLOTS = 1 << 20  # of an output shard
-CELLS = 4096  # of the unit interval that the sources share
+SLOTS = 1 << 14  # of an output shard, about a million words
+CELLS = 4096  # of the row of slots that the sources share
 MOST = 3  # times that a source may be taken
 SEED = 11
 
@@ -49,11 +50,6 @@ def source_targets(sized: DataFrame) -> DataFrame:
     )
 
 
-def _unit(*parts: Column) -> Column:
-    """A number in [0, 1) from a hash."""
-    return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / float(1 << 53)
-
-
 def plan_mix(sized: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """What a mix takes of ``sized`` (doc_id, source, size and more columns).
 
@@ -61,9 +57,10 @@ def plan_mix(sized: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int
     counted) and ``takes`` (word ranges of the row with how often each is taken).
     Second result: the slots with shard, place in the shard, source and block.
 
-    The draws of a shard are stratified: slot j draws inside its own part of the unit
-    interval. The counts are as right on average as independent draws, and off by one slot
-    at most in a shard, so that small sources also come near their target.
+    All slots are put in a random order, in which the sources have ranges of the lengths of
+    their targets. So the counts of a shard are a multinomial draw under the condition that
+    the counts of all shards add up to the targets: shards differ as in independent draws,
+    and a source is off by one slot at most in all, however small it is.
 
     Defined cases: rows without words are taken 0 times; rows that are alike share one
     place in the order and are taken one after the other; no words at all give targets of 0.
@@ -85,38 +82,22 @@ def plan_mix(sized: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int
         targets.filter("source_size > 0 AND target > 0")
         .withColumn("_blocks", blocks)
         .withColumn("_wanted", wanted)
-        .withColumn("_hi", F.sum("_wanted").over(order))
-        .withColumn("_all", F.sum("_wanted").over(Window.partitionBy(F.lit(0))))
-        .withColumns({"_lo": (F.col("_hi") - F.col("_wanted")) / F.col("_all"), "_hi": F.col("_hi") / F.col("_all")})
+        .withColumn("_end", F.round(F.sum("_wanted").over(order)).cast("bigint"))
+        .withColumn("_begin", F.coalesce(F.lag("_end").over(order), F.lit(0)))
         .withColumn("_number", F.row_number().over(order))
     )
-    shares = stored(shares.select("source", "_number", "_blocks", "_lo", "_hi", "_all"))
-    top = shares.agg(F.max("_all"), F.max("_number")).first()
-    total = int(round(top[0] or 0))
-    spark = sized.sparkSession
-    # Slot j of a shard with n slots draws in [j / n, (j + 1) / n).
-    slot = spark.range(total).select(
-        F.col("id").alias("slot"), F.expr(f"id div {slots}").alias("shard"), (F.col("id") % slots).alias("_j")
-    )
-    length = F.least(F.lit(slots), F.lit(total) - F.col("shard") * slots)
-    draw = (F.col("_j") + _unit(F.col("slot"), F.lit(seed))) / length
-    drawn = slot.withColumn("_u", draw).withColumn("_cell", F.floor(F.col("_u") * CELLS))
-    cells = shares.withColumn(
-        "_cell",
-        F.explode(
-            F.sequence(F.floor(F.col("_lo") * CELLS), F.greatest(F.floor(F.col("_lo") * CELLS), F.ceil(F.col("_hi") * CELLS)))
-        ),
+    shares = stored(shares.select("source", "_number", "_blocks", "_begin", "_end"))
+    total = shares.agg(F.max("_end")).first()[0] or 0
+    slot = sized.sparkSession.range(total).select(F.col("id").alias("slot"), F.lit(1).alias("_one"))
+    ranked = running_start(slot, [], "_one", F.xxhash64("slot", F.lit(seed)), "_rank", ["slot"])
+    cells = shares.filter("_begin < _end").withColumn(
+        "_cell", F.explode(F.expr(f"sequence(_begin * {CELLS} div {total or 1}, (_end - 1) * {CELLS} div {total or 1})"))
     )
-    last = F.col("_number") == F.lit(top[1] or 0)  # rounding leaves no gap after the last source
-    inside = (F.col("_u") >= F.col("_lo")) & ((F.col("_u") < F.col("_hi")) | last)
-    drawn = drawn.join(cells, "_cell").filter(inside).select("slot", "shard", "_j", "source", "_number", "_blocks")
-    # The slots of a source lie side by side in a shard: numbers follow from the first one.
-    runs = drawn.groupBy("_number", "shard").agg(F.min("_j").alias("_first"), F.count("*").alias("_n"))
-    earlier = Window.partitionBy("_number").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     numbered = (
-        drawn.join(runs, ["_number", "shard"])
-        .withColumn("_k", F.col("_before") + F.col("_j") - F.col("_first"))
+        ranked.withColumn("_cell", F.expr(f"_rank * {CELLS} div {total or 1}"))
+        .join(cells, "_cell")
+        .filter("_begin <= _rank AND _rank < _end")
+        .withColumns({"shard": F.expr(f"slot div {slots}"), "_j": F.col("slot") % slots, "_k": F.col("_rank") - F.col("_begin")})
         .filter(F.col("_k") < MOST * F.col("_blocks"))
     )
     turn = F.expr("_k div _blocks")

@@ -69,6 +69,64 @@ def test_slots_walk_through_permutations(spark):
         assert max(counts.values()) - min(counts.values()) <= 1 or set(counts.values()) <= {1}
 
 
+def test_counts_of_shards_are_drawn_and_add_up(spark):
+    """Shards differ as draws do; sums are off by half a slot; nothing is drawn twice."""
+    rows = spark.createDataFrame([(i, "abc"[i % 3], 80) for i in range(3000)], "doc_id bigint, source string, size bigint")
+    slots = 100
+    picked = m.plan_mix(rows, block=8, slots=slots)[1].collect()
+    assert len({(r.shard, r.place) for r in picked}) == len(picked)
+    shards = defaultdict(Counter)
+    for r in picked:
+        shards[r.shard][r.source] += 1
+    full = [c for c in shards.values() if sum(c.values()) == slots]
+    assert len(full) == 300
+    for i, source in enumerate("abc"):
+        share = (i + 1) / 6
+        counts = [c[source] for c in full]
+        assert abs(sum(counts) - share * 30_000) <= 1
+        variance = sum((x - share * slots) ** 2 for x in counts) / len(counts)
+        assert 0.75 < variance / (slots * share * (1 - share)) < 1.25
+
+
+def test_taken_words_against_a_plain_walk(spark):
+    """Order, passes, permutations and overlaps once more in plain Python; only hashes are Spark's."""
+    block, seed = 8, m.SEED
+    rows = sized(spark, 120)
+    got = {r.doc_id: r.taken for r in m.plan_mix(rows, block=block, seed=seed)[0].collect()}
+
+    def hashes(values, schema, *parts):
+        made = spark.createDataFrame(values, schema)
+        return [r[0] for r in made.select(F.xxhash64(*parts)).coalesce(1).collect()]
+
+    docs = [tuple(r) for r in rows.select("doc_id", "source", "size").collect()]
+    names = sorted({s for _, s, _ in docs if s is not None}) + [None]
+    sizes = {s: sum(n for _, x, n in docs if x == s) for s in names}
+    target, blocks = plain_targets(sizes), {s: -(-sizes[s] // block) for s in names}
+    ends, reach = [0], 0.0
+    for s in names:
+        reach += target[s] / sizes[s] * blocks[s]
+        ends.append(int(reach + 0.5))
+    times = Counter()
+    for number, s in enumerate(names, 1):
+        n = blocks[s]
+        whole, rest = divmod(min(ends[number] - ends[number - 1], m.MOST * n), n)
+        for b in range(n):
+            times[s, b] = whole
+        begin = hashes([(number, whole)], "a int, b bigint", "a", "b", F.lit(seed))[0] % len(m.PRIMES)
+        shift = hashes([(whole, number)], "a bigint, b int", "a", "b", F.lit(seed + 1))[0] % n
+        for k in range(rest):
+            times[s, (k * m.PRIMES[begin] + shift) % n] += 1
+    want = {}
+    for s in names:
+        mine = [d for d in docs if d[1] == s]
+        place = hashes([(d, n) for d, _, n in mine], "doc_id bigint, size bigint", "doc_id", "size", F.lit(seed))
+        at = 0  # up to 256 rows are one slice, in which places are ordered as signed numbers
+        for _, (d, _, n) in sorted(zip(place, mine)):
+            want[d] = sum(times[s, w // block] for w in range(at, at + n))
+            at += n
+    assert got == want
+
+
 def test_mix_gives_the_words_that_were_taken(docs):
     rows = [(i, f"start {long_text(30 + i, i)}\nend {i} ", "en", "abc"[i % 3]) for i in range(30)]
     rows += [(100, None, None, None), (101, "", "en", "a"), (102, " \n ", "en", "b"), (103, long_text(20_000), "en", "c"), (None, "x y z", "en", None)]
