@@ -95,7 +95,9 @@ FEATURES = {
     "_repeats": ("sqrt(n_repeat_words / _n)", 0.15),
 }
 CORE = 0.75  # part of a group that must lie close together
-STEPS = 5
+STARTS = 3  # estimates that a group starts from; the smallest determinant wins
+STEPS, SETTLED = 12, 1e-3  # most concentration steps; a smaller fall of any logarithm ends them
+SEED = 5
 LEAST_ROWS = 60  # passing rows of a group with estimates of its own
 CUTOFF = 64.0  # squared distance; five normal values exceed it less than once in 100 billion rows
 # Fixed value: five normal values inside their closest 75 % vary less, by this factor.
@@ -142,7 +144,20 @@ def _factor(moments: DataFrame, names: Sequence[str]) -> DataFrame:
             # Rounding never takes a pivot below the spread that was granted.
             entry = F.sqrt(F.greatest(value, F.lit(floors[a] / 4))) if i == j else value / F.col(f"l_{b}_{b}")
             rows = rows.withColumn(f"l_{a}_{b}", entry)
-    return rows.select("_g", *[f"m_{a}" for a in names], *[f"l_{a}_{b}" for i, a in enumerate(names) for b in names[: i + 1]])
+    volume = sum((F.log(f"l_{a}_{a}") for a in names[1:]), F.log(f"l_{names[0]}_{names[0]}"))
+    return rows.select("_g", *_shape(names), volume.alias("_volume"))
+
+
+def _shape(names: Sequence[str]) -> list[str]:
+    """Columns of an estimate: means and the lower triangle of the factor."""
+    return [f"m_{a}" for a in names] + [f"l_{a}_{b}" for i, a in enumerate(names) for b in names[: i + 1]]
+
+
+def _moments(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    return rows.groupBy("_g").agg(
+        F.count("*").alias("_k"), *[F.sum(a).alias(f"s_{a}") for a in names],
+        *[F.sum(F.col(a) * F.col(b)).alias(f"s_{a}_{b}") for i, a in enumerate(names) for b in names[: i + 1]],
+    )
 
 
 def _distances(rows: DataFrame, shape: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -160,11 +175,14 @@ def _distances(rows: DataFrame, shape: DataFrame, names: Sequence[str]) -> DataF
 def outlier_distances(rows: DataFrame) -> DataFrame:
     """``rows`` (the base counts, lang, source, base_failed) with ``_d``.
 
-    A group starts from medians and median deviations. Each step takes the closest
-    three quarters of the group as its core and measures again from the core's mean and
-    covariance; rows that failed the base rules have no say. A language, and all, are
-    measured from every row in them, those of large sources too. Groups are only summed, and
-    sums are formed before the shuffle, so a group may hold any part of the rows.
+    A group starts from several estimates: medians and median deviations, and mean and
+    covariance of parts of its rows, drawn by hash. Each step takes the closest three
+    quarters of the group as its core and measures again from the core's mean and
+    covariance, until the determinants fall no further; the start that ends with the
+    smallest determinant gives the estimate of the group (ties: the first). Rows that failed
+    the base rules have no say. A language, and all, are measured from every row in them,
+    those of large sources too. Groups are only summed, and sums are formed before the
+    shuffle, so a group may hold any part of the rows.
     """
     names = list(FEATURES)
     of = _groups(rows)
@@ -172,33 +190,43 @@ def outlier_distances(rows: DataFrame) -> DataFrame:
     every = every.withColumns({a: F.expr(x).cast("double") for a, (x, _) in FEATURES.items()}).drop("_n")
     same = F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s"))
     every = stored(every.join(of, same, "left").drop("_l", "_s"))
-    fit = every.filter("NOT base_failed").select(F.explode("_levels").alias("_g"), *names)
+    base = every.filter("NOT base_failed").select(F.explode("_levels").alias("_level"), *names)
+    part = F.pmod(F.xxhash64(*names, F.lit(SEED)), F.lit(STARTS - 1))
+    fit = stored(base.withColumn("_part", part))
+
+    def of_start(rows: DataFrame, start: Column | int) -> DataFrame:
+        return rows.withColumn("_g", F.struct(F.col("_level").alias("level"), F.lit(start).cast("int").alias("start")))
 
-    middle = stored(fit.groupBy("_g").agg(*[F.percentile_approx(a, 0.5).alias(f"m_{a}") for a in names]))
-    apart = fit.join(middle, "_g").groupBy("_g").agg(
+    first = of_start(fit, 0)
+    middle = stored(first.groupBy("_g").agg(*[F.percentile_approx(a, 0.5).alias(f"m_{a}") for a in names]))
+    apart = first.join(middle, "_g").groupBy("_g").agg(
         *[F.max(f"m_{a}").alias(f"m_{a}") for a in names],
         *[F.percentile_approx(F.abs(F.col(a) - F.col(f"m_{a}")), 0.5).alias(f"v_{a}") for a in names],
     )
     spread = {a: F.greatest(1.4826 * F.col(f"v_{a}"), F.lit(FEATURES[a][1])) for a in names}
-    shape = stored(
-        apart.select(
-            "_g", *[f"m_{a}" for a in names],
-            *[(spread[a] if a == b else F.lit(0.0)).alias(f"l_{a}_{b}") for i, a in enumerate(names) for b in names[: i + 1]],
-        )
+    robust = apart.select(
+        "_g", *[f"m_{a}" for a in names],
+        *[(spread[a] if a == b else F.lit(0.0)).alias(f"l_{a}_{b}") for i, a in enumerate(names) for b in names[: i + 1]],
     )
+    parts = _factor(_moments(of_start(fit, F.col("_part") + 1), names), names).drop("_volume")
+    shape = stored(robust.unionByName(parts))
+    # A row meets all starts of its group by the join with their estimates.
+    keyed = fit.withColumn("_g", F.explode(F.array(*[F.struct(F.col("_level").alias("level"), F.lit(i).alias("start")) for i in range(STARTS)])))
+    volumes = None
     for _ in range(STEPS):
-        measured = _distances(fit, shape, names)
+        measured = _distances(keyed.select("_g", *names), shape, names)
         limits = stored(measured.groupBy("_g").agg(F.percentile_approx("_d", CORE).alias("_limit")))
         core = measured.join(limits, "_g").filter("_d <= _limit")
-        shape = stored(
-            _factor(
-                core.groupBy("_g").agg(
-                    F.count("*").alias("_k"), *[F.sum(a).alias(f"s_{a}") for a in names],
-                    *[F.sum(F.col(a) * F.col(b)).alias(f"s_{a}_{b}") for i, a in enumerate(names) for b in names[: i + 1]],
-                ),
-                names,
-            )
-        )
+        shape = stored(_factor(_moments(core, names), names))
+        before, volumes = volumes, shape.select("_g", "_volume")
+        if before is not None:
+            fall = before.withColumnRenamed("_volume", "_old").join(volumes, "_g").filter(F.col("_old") - F.col("_volume") > SETTLED)
+            if fall.isEmpty():
+                break
+    shape = shape.groupBy(F.col("_g.level").alias("_g")).agg(
+        F.min_by(F.struct(*_shape(names)), F.struct("_volume", "_g.start")).alias("_best")
+    )
+    shape = stored(shape.select("_g", "_best.*"))
     return _distances(every, shape, names).drop(*names, "_g", "_levels")
 
 

@@ -111,3 +111,30 @@ def test_distance_is_mahalanobis(spark):
     cov = m.CONSISTENCY * np.cov(values.T, bias=True) + np.diag([m.FEATURES[n][1] ** 2 for n in names])
     apart = values - values.mean(axis=0)
     np.testing.assert_allclose(got, np.sort(np.einsum("ij,jk,ik->i", apart, np.linalg.inv(cov), apart)), rtol=1e-6)
+
+
+def test_smallest_determinant_against_numpy(spark, monkeypatch):
+    """Two heaps: the estimate must settle, and be no wider than that of many random starts in numpy."""
+    r = np.random.default_rng(3)
+    rows = [(int(n), int(n * length), 0, int(d), 0) for n, length, d in zip(np.exp(r.normal(5.5, 0.3, 400)), r.normal(5, 0.4, 400), r.poisson(0.3, 400))]
+    rows += [(int(n), int(n * 9), int(n), 3, int(n / 3)) for n in np.exp(r.normal(7, 0.2, 120))]
+    made = spark.createDataFrame([(i, *x, "en", "s", False) for i, x in enumerate(rows)], "doc_id int, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, lang string, source string, base_failed boolean")
+    got = {x.doc_id: x._d for x in m.outlier_distances(made).collect()}
+    v = np.array([[np.log1p(n), c / n, np.log1p(s / n), np.log1p(100 * d / n), np.sqrt(w / n)] for n, c, s, d, w in rows])
+    floors = np.diag([m.FEATURES[n][1] ** 2 for n in m.FEATURES])
+
+    def shape(part):
+        return part.mean(axis=0), m.CONSISTENCY * np.cov(part.T, bias=True) + floors
+
+    best = (np.inf, None)
+    for _ in range(50):
+        part = v[r.choice(len(v), 30, replace=False)]
+        for _ in range(30):
+            mean, cov = shape(part)
+            far = np.einsum("ij,jk,ik->i", v - mean, np.linalg.inv(cov), v - mean)
+            part = v[far <= np.sort(far)[int(np.ceil(m.CORE * len(v))) - 1]]
+        mean, cov = shape(part)
+        if (size := np.linalg.slogdet(cov)[1]) < best[0] - 1e-9:
+            best = (size, np.einsum("ij,jk,ik->i", v - mean, np.linalg.inv(cov), v - mean))
+    np.testing.assert_allclose([got[i] for i in range(len(v))], best[1], rtol=0.05, atol=0.05)
+    assert min(got[i] for i in range(400, 520)) > m.CUTOFF > np.quantile([got[i] for i in range(400)], 0.99)
