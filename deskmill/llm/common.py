@@ -20,6 +20,19 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return rows.select(*columns) if columns else rows
 
 
+def texts_to_python(docs: DataFrame, rows: int = 1_000) -> DataFrame:
+    """``docs`` for a Python step over whole texts; Arrow batches hold ``rows`` rows at most.
+
+    A batch lies in memory outside the heap several times while it is built and sent; with
+    Spark's 10,000 rows, texts make that some tens of megabytes a task each time. The setting
+    is the session's and changes no result.
+    """
+    spark, name = docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+    return docs
+
+
 def stored(rows: DataFrame, compression: str = "snappy") -> DataFrame:
     """``rows`` written once to the shared folder and read back, which cuts the lineage.
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from deskmill.llm.common import stored, table
+from deskmill.llm.common import stored, table, texts_to_python
 from deskmill.llm.graph import components
 
 WORDS = 5
@@ -174,7 +174,7 @@ def near_dedup(docs: DataFrame, percent: int = 75, bands: int = BANDS, rows: int
     rows of one doc_id are judged each by its own text; a null doc_id is linked with nothing, has a null
     component_id and is kept.
     """
-    docs = docs.select("doc_id", "text")
+    docs = texts_to_python(docs.select("doc_id", "text"))
     sketches = stored(_sketches(docs, bands, rows))
     classes = stored(
         sketches.filter("n > 0 AND doc_id IS NOT NULL")

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deskmill.llm.common import pieces, table, without
+from deskmill.llm.common import pieces, table, texts_to_python, without
 
 WINDOW, STRIDE = 32, 24  # words
 BUCKETS, WIDTH, HIDDEN, LOOK = 1 << 14, 4, 6, 4
@@ -455,7 +455,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     or repeated doc_id (a null one is not held out); several labels of a document count
     as toxic if one does; without labels of both kinds every score is 0.
     """
-    docs = without(docs, "held_out", "score", "predicted")
+    docs = texts_to_python(without(docs, "held_out", "score", "predicted"))
     net = fit(docs.select("doc_id", "text"), labels, sample_rows)
     shown = docs.sparkSession.sparkContext.broadcast(net and vars(net))
     names = docs.columns
