@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from deskmill.operators.versions import HASH, KEY, change_counts, upsert_current
+from deskmill.operators.versions import HASH, KEY, change_counts, upsert_current, without_versions
 
 HISTORY_FIELDS = [
     KEY, "run_id", HASH, "source_updated_at", "status", "closed_date", "agency",
@@ -41,8 +41,7 @@ def chunk_counts(classified: DataFrame) -> DataFrame:
 def new_versions(classified: DataFrame, history: DataFrame, run_id: Column) -> DataFrame:
     """Versions that the history does not hold yet, each once."""
     return (
-        classified.withColumn("run_id", run_id)
-        .join(history.select(KEY, HASH), [KEY, HASH], "left_anti")
+        without_versions(classified.withColumn("run_id", run_id), history)
         .select(*HISTORY_FIELDS)
         .dropDuplicates([KEY, HASH])
     )

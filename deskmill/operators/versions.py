@@ -65,11 +65,21 @@ def change_counts(classified: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def without_versions(rows: DataFrame, history: DataFrame) -> DataFrame:
+    """Rows whose (key, hash) the history lacks.
+
+    Only the key is an equality of the join, so rows that lie by key stay where they are; a
+    key has few versions.
+    """
+    known = history.select(F.col(KEY).alias("_key"), F.col(HASH).alias("_hash"))
+    same = (F.col(KEY) == F.col("_key")) & F.col(HASH).between(F.col("_hash"), F.col("_hash"))
+    return rows.join(known, same, "left_anti")
+
+
 def append_history(history: DataFrame, batch: DataFrame, run_id: Column) -> DataFrame:
     """History plus the (key, hash) versions it has not seen; A, B, A stays two versions."""
     fresh = (
-        batch.withColumn("run_id", run_id)
-        .join(history.select(KEY, HASH), [KEY, HASH], "left_anti")
+        without_versions(batch.withColumn("run_id", run_id), history)
         .select(*history.columns)
         .dropDuplicates([KEY, HASH])
     )

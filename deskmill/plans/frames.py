@@ -19,8 +19,8 @@ ACTIVE_RELEASE = 2
 AGE_REFERENCE = "2002-01-01"
 
 
-def enriched(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
-    return enrich(normalize(raw_tickets(spark, folder), *keep))
+def enriched(spark: SparkSession, folder: str, *keep: str, tasks: int | None = None) -> DataFrame:
+    return enrich(normalize(raw_tickets(spark, folder, tasks), *keep))
 
 
 def valid(spark: SparkSession, folder: str, *keep: str) -> DataFrame:

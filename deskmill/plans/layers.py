@@ -28,6 +28,9 @@ from deskmill.sources import sinks
 from deskmill.sources.store import TicketStore
 
 INPUTS = ["orders", "customer", "nation", "region"]
+# Bytes of stored orders whose tickets, as rows in memory, a task can sort without spilling.
+BUCKET_BYTES = 2_000_000
+LEAST_BUCKETS = 8
 RELEASES = (1, 2)
 KEY_BUCKETS = 16
 
@@ -62,6 +65,12 @@ def input_state(spark: SparkSession, folder: str) -> str:
     return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:24]
 
 
+def buckets(spark: SparkSession, folder: str) -> int:
+    """Buckets by key of the parsed tickets and of all that is made from them key by key."""
+    place, files = _file_system(spark, f"{folder.rstrip('/')}/orders.parquet")
+    return max(LEAST_BUCKETS, -(-files.getContentSummary(place).getLength() // BUCKET_BYTES))
+
+
 def _root(spark: SparkSession, folder: str) -> str:
     """Folder of all states of one input folder."""
     own = hashlib.sha256(folder.rstrip("/").encode()).hexdigest()[:12]
@@ -69,12 +78,20 @@ def _root(spark: SparkSession, folder: str) -> str:
 
 
 def _layer(
-    spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame], write: Callable[[DataFrame, str], None]
-) -> DataFrame:
-    """The stored rows of a layer, which is written if it is not there."""
+    spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame],
+    write: Callable[[DataFrame, str], None], keyed: bool = False,
+) -> DataFrame:
+    """The stored rows of a layer, which is written if it is not there.
+
+    A ``keyed`` layer lies in buckets by ticket key and is read as such a table, so windows and
+    joins by key need no shuffle.
+    """
     path = f"{_root(spark, folder)}/{input_state(spark, folder)}/{name}"
     place, files = _file_system(spark, path)
     there = files.exists(place)
+    table = f"deskmill_{hashlib.sha256(path.encode()).hexdigest()[:24]}" if keyed else None
+    if table and not there:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # what it knows of older files
     if name not in _SCHEMAS or not there:
         rows = build()
         _SCHEMAS[name] = rows.schema
@@ -85,6 +102,12 @@ def _layer(
             if files.exists(place) or not files.rename(source, place):
                 files.delete(source, True)  # another session has written it meanwhile
     schema = _SCHEMAS[name]
+    if table:
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({schema.toDDL()}) USING parquet LOCATION '{path}' "
+            f"CLUSTERED BY ({KEY}) SORTED BY ({KEY}) INTO {buckets(spark, folder)} BUCKETS"
+        )
+        return spark.table(table)
     return spark.read.schema(schema).parquet(path).select(schema.names)
 
 
@@ -108,9 +131,26 @@ def _plain(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
+def _by_ticket(spark: SparkSession, folder: str) -> Callable[[DataFrame, str], None]:
+    """Writer of a keyed layer. The rows come dealt by key, so a bucket is one file."""
+
+    def write(rows: DataFrame, path: str) -> None:
+        table = f"deskmill_{uuid.uuid4().hex}"
+        laid = rows.write.bucketBy(buckets(spark, folder), KEY).sortBy(KEY)
+        laid.option("path", path).format("parquet").saveAsTable(table)
+        spark.sql(f"DROP TABLE {table}")  # the files stay
+
+    return write
+
+
+def _keyed(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    return _layer(spark, folder, name, build, _by_ticket(spark, folder), keyed=True)
+
+
 def parsed(spark: SparkSession, folder: str) -> DataFrame:
     """Every observation, normalised, flagged and hashed: parsed once for all layers below."""
-    return _layer(spark, folder, "parsed", lambda: frames.enriched(spark, folder, "observation"), _plain)
+    tasks = buckets(spark, folder)
+    return _keyed(spark, folder, "parsed", lambda: frames.enriched(spark, folder, "observation", tasks=tasks))
 
 
 def _valid(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,7 +186,7 @@ def run_1(spark: SparkSession, folder: str) -> DataFrame:
         seen = rows.filter((F.col("observation") == 1) & (F.col("created_date") < frames.day(frames.FIRST_END)))
         return latest_version(seen.drop("observation"))
 
-    return _layer(spark, folder, "run_1", build, _plain)
+    return _keyed(spark, folder, "run_1", build)
 
 
 def run_2(spark: SparkSession, folder: str) -> DataFrame:
@@ -156,7 +196,7 @@ def run_2(spark: SparkSession, folder: str) -> DataFrame:
         rows = _valid(spark, folder).drop("observation")
         return latest_version(rows.filter(F.col("created_date") >= frames.day(frames.SECOND_START)))
 
-    return _layer(spark, folder, "run_2", build, _plain)
+    return _keyed(spark, folder, "run_2", build)
 
 
 def after_run_1(spark: SparkSession, folder: str) -> DataFrame:
@@ -254,10 +294,11 @@ def ticket_store(spark: SparkSession, folder: str) -> TicketStore:
             rows(spark, folder).drop("created_year", "created_month").withColumn("chunk_key", month_name(F.col("created_date")))
             for rows in (run_1, run_2)
         ]
-        store = TicketStore(spark, aside, KEY_BUCKETS).create(staged[0].drop("chunk_key"))
-        store.run("run-1", staged[0], "baseline-v1", run_1(spark, folder).count())
+        store = TicketStore(spark, aside, buckets(spark, folder)).create(staged[0].drop("chunk_key"))
+        store.run("run-1", staged[0], "baseline-v1", run_1(spark, folder).count(), laid=True)
+        keys = [rows(spark, folder).select(KEY) for rows in (run_1, run_2)]
         try:
-            store.run("run-2", staged[1], "merged-v2", after_run_2(spark, folder).count())
+            store.run("run-2", staged[1], "merged-v2", keys[0].join(keys[1], KEY, "full_outer").count(), laid=True)
         except RuntimeError:
             pass  # kept in the store as a failed run
         source, _ = _file_system(spark, aside)

@@ -22,7 +22,7 @@ from pyspark.storagelevel import StorageLevel
 
 from deskmill.operators import loading
 from deskmill.operators.release import activate, pending_chunks, register_candidate, run_totals
-from deskmill.operators.versions import KEY
+from deskmill.operators.versions import HASH, KEY
 from deskmill.sources.commit_log import CommitLog, ConcurrentCommit
 
 LEDGER = (
@@ -149,11 +149,13 @@ class TicketStore:
         """Number of the task that a shuffle by key into ``buckets`` tasks sends a row to."""
         return F.pmod(F.hash(KEY), F.lit(self.buckets))
 
-    def load(self, staged: DataFrame, run_id: int) -> int:
+    def load(self, staged: DataFrame, run_id: int, laid: bool = False) -> int:
         """Merge all chunks of ``staged`` that the ledger does not hold; returns how many.
 
         ``staged`` has ticket columns and ``chunk_key``, each key once per chunk. Current
-        state, history and ledger of all chunks become visible together.
+        state, history and ledger of all chunks become visible together. With ``laid`` the
+        rows are read from a table that does not change and has a bucket by key for each
+        bucket of the store; they are neither copied nor shuffled.
         """
         run = F.lit(run_id).cast("bigint")
         self._ticket()
@@ -163,23 +165,26 @@ class TicketStore:
         if left.isEmpty():
             return 0
         part = f"p{uuid.uuid4().hex}"
-        place = f"{self.root}/staging/part={part}"
-        staged.join(left, "chunk_key", "left_semi").write.parquet(place)
-        rows = self.spark.read.schema(staged.schema).parquet(place)
+        # A row per chunk; the tickets stay where they are.
+        rows = staged.join(F.broadcast(left), "chunk_key", "left_semi")
+        if not laid:
+            place = f"{self.root}/staging/part={part}"
+            rows.write.parquet(place)
+            rows = self.spark.read.schema(staged.schema).parquet(place)
         self._check_keys(rows)
 
         # At most as many numbers as there are buckets.
         touched = sorted(r.b for r in rows.select(self._bucket().alias("b")).distinct().collect())
         # Both sides are shuffled by key into a task per bucket, and stay there.
         before = self._current_of(seen, touched).repartition(self.buckets, KEY)
-        classified = loading.classify_chunks(rows.repartition(self.buckets, KEY), before)
+        classified = loading.classify_chunks(rows if laid else rows.repartition(self.buckets, KEY), before)
         classified = classified.persist(StorageLevel.DISK_ONLY)  # if lost, computed again from the files
         try:
             ledger = self._ledger_rows(classified, rows, run)
             ledger.write.parquet(f"{self.root}/ledger/part={part}")
             self._write("current", part, loading.merged_current(classified, before, run))
-            fresh = loading.new_versions(classified, self._history_of(seen, touched), run)
-            self._write("history", part, fresh.repartition(self.buckets, KEY))
+            known = self._history_of(seen, touched).select(KEY, HASH).repartition(self.buckets, KEY)
+            self._write("history", part, loading.new_versions(classified, known, run))
         finally:
             classified.unpersist()
         self._commit_load(seen, part, touched)
@@ -309,8 +314,9 @@ class TicketStore:
         raise ConcurrentCommit("too many writers")
 
     def run(
-        self, run_key: str, staged: DataFrame, release_key: str, expected_rows: int, run_type: str = "BASELINE"
-    ) -> dict:
+        self, run_key: str, staged: DataFrame, release_key: str, expected_rows: int, run_type: str = "BASELINE",
+        laid: bool = False,
+    ) -> dict:
         """A whole run: load what is left, gate, publish. Returns the run's row.
 
         A run that has succeeded returns at once. One that fails, also at the gate, is kept
@@ -321,7 +327,7 @@ class TicketStore:
         if run["status"] == "SUCCEEDED":
             return run
         try:
-            self.load(staged, run["run_id"])
+            self.load(staged, run["run_id"], laid)
             if not self.publish(release_key, run["run_id"], expected_rows):
                 raise RuntimeError(f"release {release_key} rejected: staged, current and expected rows differ")
         except Exception as error:

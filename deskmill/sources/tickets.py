@@ -54,9 +54,15 @@ _STATUS = (
 )
 
 
-def raw_tickets(spark: SparkSession, folder: str) -> DataFrame:
+# The key that a ticket has once it is normalised.
+_KEY = "CASE WHEN o_orderkey % 997 = 3 THEN '' ELSE cast(o_orderkey AS string) END"
+
+
+def raw_tickets(spark: SparkSession, folder: str, tasks: int | None = None) -> DataFrame:
     """Raw tickets plus ``observation``, the number of the extract that saw the row.
 
+    With ``tasks`` they are dealt to so many tasks by the normalised ticket key.
+
     The joins go from the large table outwards, so that each other side is a plain scan
     whose size is known. A joined side has no usable size estimate, and the optimizer
     may then broadcast the orders and run the rest in the few tasks of a dimension.
@@ -64,13 +70,15 @@ def raw_tickets(spark: SparkSession, folder: str) -> DataFrame:
     seen = F.when(F.col("o_orderkey") % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(
         F.array(F.lit(1))
     )
+    spread = [tasks, F.expr(_KEY)] if tasks else ["o_orderkey"]
     observed = (
-        # One Parquet row group is one task; everything after it is spread by the key.
         table(spark, folder, "orders")
-        .repartition("o_orderkey")
         .join(table(spark, folder, "customer"), F.col("c_custkey") == F.col("o_custkey"))
         .join(table(spark, folder, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
         .join(table(spark, folder, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+        # One Parquet row group is one task; everything after it is spread by the key, before
+        # the rows become wide.
+        .repartition(*spread)
         .withColumn("ver", F.explode(seen))
         .withColumn("st", F.expr(_STATUS))
         .withColumn(

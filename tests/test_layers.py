@@ -136,3 +136,51 @@ def test_counts_by_month_and_flag(tickets):
     rows = tickets({}, {"unique_key": "2", "status": "Closed"}, {"unique_key": "3", "created_date": "2025-03-01T00:00:00.000"}, {"unique_key": "4", "agency": ""})
     got = {(r.kind, r.name): r.row_count for r in profile.counts_by_month_and_flag(rows).collect()}
     assert got == {("month", "2025-01"): 3, ("month", "2025-03"): 1, ("flag", "CLOSED_WITHOUT_DATE"): 1, ("flag", "MISSING_AGENCY"): 1}
+
+
+# --- layers by key --------------------------------------------------------------
+
+
+def test_versions_and_merges_of_stored_tickets_shuffle_nothing(spark, folder):
+    from deskmill.operators.versions import append_history, classify_changes, latest_version
+    from deskmill.plans import frames
+
+    layers.parsed(spark, folder)
+    now, batch = layers.after_run_1(spark, folder), layers.run_2(spark, folder)
+    number = F.lit(2).cast("bigint")
+    made = [
+        latest_version(layers._valid(spark, folder)),
+        upsert_current(now, batch, number),
+        classify_changes(batch, now),
+        append_history(frames.history_of(layers.run_1(spark, folder), 1), batch, number),
+    ]
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert all("Exchange" not in plan(df.select("*")) for df in made)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_a_keyed_layer_has_one_file_a_bucket_and_loses_no_row(spark, folder):
+    from deskmill.plans import frames
+
+    rows = layers.parsed(spark, folder)
+    assert len(rows.inputFiles()) <= layers.buckets(spark, folder)
+    plain = frames.enriched(spark, folder, "observation")
+    assert rows.count() == plain.count()
+    assert rows.exceptAll(plain).isEmpty()
+    again = layers.run_1(spark, folder)
+    assert again.count() == frames.first_run(spark, folder).count()
+    assert again.exceptAll(frames.first_run(spark, folder)).isEmpty()
+
+
+def test_the_stored_load_copies_no_tickets(spark, folder):
+    store = layers.ticket_store(spark, folder)
+    place, files = layers._file_system(spark, f"{store.root}/staging")
+    assert not files.exists(place)
+    state = layers.after_run_2(spark, folder)
+    columns = ["unique_key", "content_hash_hex", "first_seen_run_id", "last_seen_run_id"]
+    assert sorted_rows(store.current().select(columns)) == sorted_rows(state.select(columns))
+    seen = layers.history(spark, folder).select("unique_key", "run_id", "content_hash_hex")
+    assert sorted_rows(store.history().select(seen.columns)) == sorted_rows(seen)
