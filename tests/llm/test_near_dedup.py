@@ -126,3 +126,29 @@ def test_small_sets_miss_no_more_bands_than_large_ones():
         x, y = (m.banded(m.signature(h, factors, shifts), 4, 5).reshape(4, 5) for h in (hashes, hashes[:3]))
         missed += not (x == y).all(axis=1).any()
     assert 0.27 < missed / 4000 < 0.36
+
+
+def test_far_copies_of_one_text_are_not_compared_in_pairs(docs, monkeypatch):
+    """Copies of one text that share many buckets and link with nothing, beside linked ones."""
+    draw = random.Random(5)
+    base, rows = [f"t{i}" for i in range(150)], []
+    for i in range(240):
+        words = list(base)
+        for at in draw.sample(range(150), 2 if i % 2 else draw.choice([5, 6, 7])):
+            words[at] = f"own{i}_{at}"
+        rows.append((i + 1, " ".join(words)))
+    rows.append((0, " ".join(base)))
+    confirmed, pairs = m._confirmed, []
+    monkeypatch.setattr(m, "_confirmed", lambda found, *rest: pairs.append(found.count()) or confirmed(found, *rest))
+    assert found(docs(*rows)) == plain(rows)
+    assert sum(pairs) < 5 * len(rows)
+
+
+def test_prefix_filter_loses_no_pair(docs, spark):
+    rows = [(d, t) for d, t in corpus(4) if word_sets(t)]
+    parts = spark.createDataFrame([(d, d) for d, _ in rows], "node bigint, c bigint")
+    texts = docs(*rows).selectExpr("doc_id AS node", "text")
+    kept = {(r.a, r.b) for r in m._across(texts, parts, 75).collect()}
+    sets = {d: word_sets(t) for d, t in rows}
+    links = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert links and links <= kept
