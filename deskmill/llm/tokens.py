@@ -33,10 +33,11 @@ class Encoder:
 
     The tokenizer drops white space and never joins over it, so a text is encoded word by
     word, cut at spaces and line ends only. Words live in a bounded memory of the process,
-    which later tasks of the same worker share.
+    which later tasks of the same worker share. Their cores, which the tokenizer has to work
+    for, stay longer than the words as written, which are cheap to put together again.
     """
 
-    def __init__(self, text: str, most: int = 400_000) -> None:
+    def __init__(self, text: str, most: int = 200_000, most_cores: int = 500_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         memory = sys.modules.setdefault("_deskmill_words", SimpleNamespace(of=None, words={}, cores={}))
         if memory.of != hash(text):
@@ -47,7 +48,7 @@ class Encoder:
             memory.bare.normalizer = normalizers.Sequence([])
             memory.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             memory.marks = {m: self._ids(memory, [m])[0] if m else b"" for m in ("", ".", ",")}
-        self.memory, self.most = memory, most
+        self.memory, self.most, self.most_cores = memory, most, most_cores
 
     @staticmethod
     def _ids(memory: SimpleNamespace, words: list[str], bare: bool = False) -> list[bytes]:
@@ -71,7 +72,9 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         found = []
         if len(self.memory.words) > self.most:
-            self.memory.words, self.memory.cores = {}, {}
+            self.memory.words = {}
+        if len(self.memory.cores) > self.most_cores:
+            self.memory.cores = {}
         split = [[p.replace("\n", " ").split(" ") for p in pieces(t or "")] for t in texts]
         self._learn(set().union(*(piece for text in split for piece in text)))
         lookup = self.memory.words.__getitem__
