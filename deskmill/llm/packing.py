@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from deskmill.llm.common import stored, table
-from deskmill.llm.tokens import Encoder, tokenizer_text
+from deskmill.llm.common import stored, table, texts_to_python
+from deskmill.llm.tokens import Encoder, by_size, tokenizer_text
 
 LENGTH, PORTION, END = 2048, 128, 1
 
@@ -32,24 +32,22 @@ def tokenized(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         encoder, part, row = Encoder(shown.value), TaskContext.get().partitionId(), 0
         sent: dict[str | None, int] = {}
         end = END.to_bytes(4, "little")
-        for batch in batches:
-            for at in range(0, max(1, batch.num_rows), 500):
-                rows = batch.slice(at, 500)
-                ids = [x + end for x in encoder.encode(rows.column("text").to_pylist())]
-                counts = [len(x) // 4 for x in ids]
-                ahead = []
-                for source, n in zip(rows.column("source").to_pylist(), counts):
-                    ahead.append(sent.get(source, 0))
-                    sent[source] = ahead[-1] + n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part] * len(ids), pa.int64()), pa.array(range(row, row + len(ids)), pa.int64()),
-                     rows.column("doc_id").cast(pa.int64()), rows.column("source").cast(pa.string()),
-                     pa.array(counts, pa.int64()), pa.array(ahead, pa.int64()), pa.array(ids, pa.binary())],
-                    names=["part", "row", "doc_id", "source", "n", "ahead", "ids"],
-                )
-                row += len(ids)
-
-    return docs.select("doc_id", "source", "text").mapInArrow(
+        for rows in by_size(batches, "text"):
+            ids = [x + end for x in encoder.encode_column(rows.column("text")).to_pylist()]
+            counts = [len(x) // 4 for x in ids]
+            ahead = []
+            for source, n in zip(rows.column("source").to_pylist(), counts):
+                ahead.append(sent.get(source, 0))
+                sent[source] = ahead[-1] + n
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part] * len(ids), pa.int64()), pa.array(range(row, row + len(ids)), pa.int64()),
+                 rows.column("doc_id").cast(pa.int64()), rows.column("source").cast(pa.string()),
+                 pa.array(counts, pa.int64()), pa.array(ahead, pa.int64()), pa.array(ids, pa.binary())],
+                names=["part", "row", "doc_id", "source", "n", "ahead", "ids"],
+            )
+            row += len(ids)
+
+    return texts_to_python(docs.select("doc_id", "source", "text")).mapInArrow(
         encode, "part bigint, row bigint, doc_id bigint, source string, n bigint, ahead bigint, ids binary"
     )
 

@@ -5,17 +5,23 @@ from __future__ import annotations
 import os
 import re
 import sys
-from array import array
+from collections.abc import Iterator
 from types import SimpleNamespace
-from unicodedata import is_normalized
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from deskmill.llm.common import pieces
 
-# A word of Latin letters with at most one mark behind it: lower-casing gives one letter each
-# there, and the mark is a token of its own, so word and mark can be looked up apart.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,]?)")
+# A word of Latin letters with at most ASCII marks behind it: lower-casing gives one letter each
+# there, none of the letters composes with another, and the run of marks is cut off by the
+# tokenizer too, so word and marks can be encoded apart.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\[-`{-~]*)")
+LONG = 1 << 20  # bytes; a longer text is encoded in pieces
+SHORT = 64  # characters; longer words are not remembered
+TOGETHER = 200  # words that the tokenizer gets as one text
 
 
 def tokenizer_text(path: str | None = None) -> str:
@@ -32,49 +38,123 @@ class Encoder:
     """Ids as little-endian 32-bit numbers.
 
     The tokenizer drops white space and never joins over it, so a text is encoded word by
-    word, cut at spaces and line ends only. Words live in a bounded memory of the process,
-    which later tasks of the same worker share.
+    word, cut at spaces and line ends only. Arrow finds the different words of a column and
+    puts their ids in place. Words live in a bounded memory of the process, which later tasks
+    of the same worker share: when the newer half is full it becomes the older one, which goes
+    except for the words that are met again.
     """
 
-    def __init__(self, text: str, most: int = 400_000) -> None:
+    def __init__(self, text: str, most: int = 800_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        memory = sys.modules.setdefault("_deskmill_words", SimpleNamespace(of=None, words={}, cores={}))
+        memory = sys.modules.setdefault("_deskmill_words", SimpleNamespace(of=None))
         if memory.of != hash(text):
-            memory.of, memory.words, memory.cores = hash(text), {}, {}
+            memory.of, memory.words, memory.older, memory.marks = hash(text), {}, {}, {"": b""}
             memory.tokenizer = Tokenizer.from_str(text)
             # The same model without the steps that change nothing in lower-case letters.
             memory.bare = Tokenizer.from_str(text)
             memory.bare.normalizer = normalizers.Sequence([])
-            memory.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-            memory.marks = {m: self._ids(memory, [m])[0] if m else b"" for m in ("", ".", ",")}
+            memory.bare.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            )
+            suffix, vocabulary = memory.bare.model.end_of_word_suffix, memory.bare.get_vocab()
+            memory.last = np.zeros(max(vocabulary.values()) + 1, np.bool_)
+            memory.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.memory, self.most = memory, most
 
     @staticmethod
-    def _ids(memory: SimpleNamespace, words: list[str], bare: bool = False) -> list[bytes]:
-        tokenizer = memory.bare if bare else memory.tokenizer
-        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _ids(tokenizer: Tokenizer, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
-        memory = self.memory
-        new = [w for w in words if w not in memory.words]
-        split = []
-        for w in new:
+    def _ids_of_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of lower-case letters, encoded many at a time and cut behind last tokens."""
+        if not words:
+            return []
+        together = [" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        flat = np.concatenate(self._ids(self.memory.bare, together))
+        ends = (np.flatnonzero(self.memory.last[flat]) + 1) * 4
+        if len(ends) != len(words):  # a model that marks no ends
+            return [x.tobytes() for x in self._ids(self.memory.bare, words)]
+        data, ends = flat.tobytes(), ends.tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        memory, letters, marks, other = self.memory, [], [], []
+        for w in words:
             plain = PLAIN.fullmatch(w)
-            split.append((plain[1].lower(), plain[2]) if plain else (w, ""))
-        missing = {core for core, _ in split if core not in memory.cores}
-        bare = [c for c in missing if c.isalpha() and c.islower() and (c.isascii() or is_normalized("NFC", c))]
-        other = list(missing.difference(bare))
-        memory.cores.update(zip(bare, self._ids(memory, bare, bare=True)))
-        memory.cores.update(zip(other, self._ids(memory, other)))
-        memory.words.update((w, memory.cores[core] + memory.marks[mark]) for w, (core, mark) in zip(new, split))
+            letters.append(plain[1].lower() if plain else None)
+            marks.append(plain[2] if plain else w)
+            if not plain:
+                other.append(w)
+        cores = dict.fromkeys(letters)
+        cores.pop(None, None)
+        cores.update(zip(cores, self._ids_of_letters(list(cores))))
+        other += set(marks).difference(memory.marks, other)
+        apart = dict(zip(other, (x.tobytes() for x in self._ids(memory.tokenizer, other))))
+        if len(memory.marks) < 10_000:
+            memory.marks.update((m, apart[m]) for m, core in zip(marks, letters) if core and m in apart)
+        rest = memory.marks | apart
+        cores[None] = b""
+        return [cores[core] + rest[mark] for core, mark in zip(letters, marks)]
+
+    def _look_up(self, words: list[str]) -> list[bytes]:
+        """Ids of different words, from memory where it has them."""
+        memory = self.memory
+        if len(memory.words) > self.most // 2:
+            memory.words, memory.older = {}, memory.words
+        ids = list(map(memory.words.get, words))
+        new = [i for i, x in enumerate(ids) if x is None]
+        for i in new:
+            ids[i] = memory.older.get(words[i])
+        unknown = [i for i in new if ids[i] is None]
+        for i, x in zip(unknown, self._learn([words[i] for i in unknown])):
+            ids[i] = x
+        memory.words.update((words[i], ids[i]) for i in new if len(words[i]) <= SHORT)
+        return ids
+
+    def _encode(self, texts: pa.Array) -> pa.Array:
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        ids = pa.array(self._look_up(words.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary())
+        placed = ids.take(words.indices)
+        _, ends, data = placed.buffers()
+        ends = np.frombuffer(ends, np.int32, len(placed) + 1)[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), data])
+
+    def encode_column(self, texts: pa.Array) -> pa.Array:
+        """Ids of every text of a column, as binary; null is an empty text."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        if (pc.max(pc.binary_length(texts)).as_py() or 0) <= LONG:
+            return self._encode(texts)
+        parts = [[self._encode(pa.array([p], pa.string()))[0].as_py() for p in pieces(t)] for t in texts.to_pylist()]
+        return pa.array(list(map(b"".join, parts)), pa.binary())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        found = []
-        if len(self.memory.words) > self.most:
-            self.memory.words, self.memory.cores = {}, {}
+        """Ids of a few texts, without the steps that a column needs."""
         split = [[p.replace("\n", " ").split(" ") for p in pieces(t or "")] for t in texts]
-        self._learn(set().union(*(piece for text in split for piece in text)))
-        lookup = self.memory.words.__getitem__
-        for text in split:
-            found.append(b"".join(b"".join(map(lookup, piece)) for piece in text))
-        return found
+        words = list(set().union(*(piece for text in split for piece in text)))
+        lookup = dict(zip(words, self._look_up(words))).__getitem__
+        return [b"".join(b"".join(map(lookup, piece)) for piece in text) for text in split]
+
+
+def by_size(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in order, in batches of about ``most`` bytes of text.
+
+    A long text comes alone.
+    """
+    held, size, last = [], 0, 0
+
+    def joined() -> Iterator[pa.RecordBatch]:
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held.clear()
+
+    for batch in batches:
+        start, sizes = 0, pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        for at, n in enumerate(sizes):
+            if size and (size + n > most or max(n, last) > LONG):
+                held.append(batch.slice(start, at - start))
+                yield from joined()
+                start, size = at, 0
+            size, last = size + max(n, 1), n
+        held.append(batch.slice(start))
+    yield from joined()
