@@ -79,6 +79,8 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> list[bytes]:
         memory, letters, marks, other = self.memory, [], [], []
+        if not words:
+            return []
         for w in words:
             plain = PLAIN.fullmatch(w)
             letters.append(plain[1].lower() if plain else None)
@@ -92,9 +94,8 @@ class Encoder:
         apart = dict(zip(other, (x.tobytes() for x in self._ids(memory.tokenizer, other))))
         if len(memory.marks) < 10_000:
             memory.marks.update((m, apart[m]) for m, core in zip(marks, letters) if core and m in apart)
-        rest = memory.marks | apart
-        cores[None] = b""
-        return [cores[core] + rest[mark] for core, mark in zip(letters, marks)]
+        known, cores[None] = memory.marks, b""
+        return [cores[core] + (known[mark] if mark in known else apart[mark]) for core, mark in zip(letters, marks)]
 
     def _look_up(self, words: list[str]) -> list[bytes]:
         """Ids of different words, from memory where it has them."""
