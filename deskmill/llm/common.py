@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from types import SimpleNamespace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from deskmill.session import checkpoint_dir
@@ -33,6 +36,19 @@ def texts_to_python(docs: DataFrame, rows: int = 1_000) -> DataFrame:
     return docs
 
 
+def process_memory(owner: str) -> SimpleNamespace:
+    """What the tasks of ``owner`` keep in this Python process.
+
+    Spark hands a process on to the tasks of later operators. What another owner left goes, so
+    that a process holds the memory of one operator at a time.
+    """
+    held = sys.modules.setdefault("_deskmill_memory", SimpleNamespace(owner=None, memory=None))
+    if held.owner != owner:
+        held.owner, held.memory = owner, SimpleNamespace()
+        pa.default_memory_pool().release_unused()
+    return held.memory
+
+
 def stored(rows: DataFrame, compression: str = "snappy") -> DataFrame:
     """``rows`` written once to the shared folder and read back, which cuts the lineage.
 

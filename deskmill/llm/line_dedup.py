@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deskmill.llm.common import WHITE_SPACE, stored, table, without
+from deskmill.llm.common import WHITE_SPACE, process_memory, stored, table, without
 
 STRIPPED = WHITE_SPACE.encode()
 LAST = (1 << 63) - 1
@@ -59,6 +59,7 @@ def repeat_filter(docs: DataFrame, least: int, max_bits: int) -> np.ndarray:
     words = bits // 64
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_memory(__name__)
         parts: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for text in _texts(batch, "text"):
@@ -126,6 +127,7 @@ def line_dedup(docs: DataFrame, least: int = 10, max_bits: int = 1 << 30) -> Dat
     shown = spark.sparkContext.broadcast(repeat_filter(docs, least, max_bits))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_memory(__name__)
         twice = shown.value
         for batch in batches:
             owners, found = [], []
@@ -159,6 +161,7 @@ def line_dedup(docs: DataFrame, least: int = 10, max_bits: int = 1 << 30) -> Dat
     out = docs.withColumns({"n_lines": F.lit(0).cast("bigint"), "n_dropped": F.lit(0).cast("bigint")}).schema
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_memory(__name__)
         for batch in batches:
             texts, before, gone = [], [], []
             for text, drops in zip(_texts(batch, "text"), batch.column("_drops").to_pylist()):

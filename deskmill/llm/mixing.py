@@ -139,7 +139,7 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     least so often; a row that is taken whole keeps its text unchanged. n_chars follows.
     """
     names = docs.columns
-    kept = stored(docs.withColumns({"_row": F.monotonically_increasing_id(), "_size": n_words(F.col("text"))}))
+    kept = stored(docs.withColumns({"_row": F.monotonically_increasing_id(), "_size": n_words(F.col("text"))}), "zstd")
     sized = kept.select("_row", "doc_id", "source", F.col("_size").alias("size"))
     plan = plan_mix(sized, block, seed=seed)[0].filter("taken > 0").select("_row", F.col("takes").alias("_takes"))
     copies = kept.join(plan, "_row").withColumn(

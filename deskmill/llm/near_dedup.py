@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from deskmill.llm.common import stored, table, texts_to_python
+from deskmill.llm.common import process_memory, stored, table, texts_to_python
 from deskmill.llm.graph import components
 
 WORDS = 5
@@ -80,6 +80,7 @@ def _sketches(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     )
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_memory(__name__)
         known: dict[bytes, int] = {}
         number = np.arange(bands, dtype=np.uint64)
         for batch in batches:
@@ -128,6 +129,7 @@ def _full_sets(docs: DataFrame, ends: DataFrame) -> DataFrame:
     """``node``, ``hashes``: the full sets of the documents named by ``ends`` (node)."""
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_memory(__name__)
         known: dict[bytes, int] = {}
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
@@ -151,6 +153,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_memory(__name__)
         for batch in batches:
             good = []
             for x, y in zip(batch.column("ha"), batch.column("hb")):

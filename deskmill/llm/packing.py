@@ -16,10 +16,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from deskmill.llm.common import stored, table, texts_to_python
+from deskmill.llm.common import process_memory, stored, table, texts_to_python
 from deskmill.llm.tokens import Encoder, by_size, tokenizer_text
 
 LENGTH, PORTION, END = 2048, 128, 1
+WORDS = 500_000  # that a task remembers
 
 
 def tokenized(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -29,7 +30,7 @@ def tokenized(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     shown = docs.sparkSession.sparkContext.broadcast(tokenizer_text(tokenizer))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, row = Encoder(shown.value), TaskContext.get().partitionId(), 0
+        encoder, part, row = Encoder(shown.value, WORDS), TaskContext.get().partitionId(), 0
         sent: dict[str | None, int] = {}
         end = END.to_bytes(4, "little")
         for rows in by_size(batches, "text"):
@@ -152,6 +153,7 @@ def pack(
     joined = tokens.join(by_doc, (F.col("part") == F.col("_p")) & (F.col("row") == F.col("_r")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_memory(__name__)  # all texts are encoded
         for batch in batches:
             lists = batch.column("pieces")
             flat, counts = lists.flatten(), lists.value_lengths()

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 import os
 import re
-import sys
 from collections.abc import Iterator
-from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from deskmill.llm.common import pieces
+from deskmill.llm.common import pieces, process_memory
 
 # A word of Latin letters with at most ASCII marks behind it: lower-casing gives one letter each
 # there, none of the letters composes with another, and the run of marks is cut off by the
@@ -34,21 +32,36 @@ def tokenizer_text(path: str | None = None) -> str:
         return file.read()
 
 
+class Words:
+    """Different words and the ids of each, as Arrow columns: under 60 bytes a word, some 140 in dictionaries."""
+
+    def __init__(self, words: pa.Array | None = None, ids: pa.Array | None = None) -> None:
+        self.words = pa.array([], pa.string()) if words is None else words
+        self.ids = pa.array([], pa.binary()) if ids is None else ids
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def __contains__(self, word: str) -> bool:
+        return pc.index(self.words, word).as_py() >= 0
+
+
 class Encoder:
     """Ids as little-endian 32-bit numbers.
 
     The tokenizer drops white space and never joins over it, so a text is encoded word by
     word, cut at spaces and line ends only. Arrow finds the different words of a column and
     puts their ids in place. Words live in a bounded memory of the process, which later tasks
-    of the same worker share: when the newer half is full it becomes the older one, which goes
-    except for the words that are met again.
+    of the same operator in it share: when the newer half is full it becomes the older one, which
+    goes except for the words that are met again.
     """
 
     def __init__(self, text: str, most: int = 800_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        memory = sys.modules.setdefault("_deskmill_words", SimpleNamespace(of=None))
-        if memory.of != hash(text):
-            memory.of, memory.words, memory.older, memory.marks = hash(text), {}, {}, {"": b""}
+        memory = process_memory(f"words {hash(text)}")
+        if not hasattr(memory, "tokenizer"):
+            memory.words, memory.older, memory.marks = Words(), Words(), {"": b""}
+            memory.single, memory.older_single = {}, {}  # of texts that do not come as a column
             memory.tokenizer = Tokenizer.from_str(text)
             # The same model without the steps that change nothing in lower-case letters.
             memory.bare = Tokenizer.from_str(text)
@@ -100,25 +113,43 @@ class Encoder:
     def _look_up(self, words: list[str]) -> list[bytes]:
         """Ids of different words, from memory where it has them."""
         memory = self.memory
-        if len(memory.words) > self.most // 2:
-            memory.words, memory.older = {}, memory.words
-        ids = list(map(memory.words.get, words))
+        if len(memory.single) > self.most // 2:
+            memory.single, memory.older_single = {}, memory.single
+        ids = list(map(memory.single.get, words))
         new = [i for i, x in enumerate(ids) if x is None]
         for i in new:
-            ids[i] = memory.older.get(words[i])
+            ids[i] = memory.older_single.get(words[i])
         unknown = [i for i in new if ids[i] is None]
         for i, x in zip(unknown, self._learn([words[i] for i in unknown])):
             ids[i] = x
-        memory.words.update((words[i], ids[i]) for i in new if len(words[i]) <= SHORT)
+        memory.single.update((words[i], ids[i]) for i in new if len(words[i]) <= SHORT)
+        return ids
+
+    def _look_up_column(self, words: pa.Array) -> pa.Array:
+        """``_look_up`` of an Arrow column."""
+        memory = self.memory
+        if len(memory.words) > self.most // 2:
+            memory.words, memory.older = Words(), memory.words
+        newer, older = memory.words, memory.older
+        at = pc.index_in(words, value_set=pa.concat_arrays([newer.words, older.words]))
+        learnt = pa.array(self._learn(words.filter(at.is_null()).to_pylist()), pa.binary())
+        at = at.fill_null(-1).to_numpy().copy()
+        at[at < 0] = len(newer) + len(older) + np.arange(len(learnt))
+        ids = pa.concat_arrays([newer.ids, older.ids, learnt]).take(pa.array(at))
+        kept = pc.and_(pa.array(at >= len(newer)), pc.less_equal(pc.utf8_length(words), SHORT))
+        memory.words = Words(
+            pa.concat_arrays([newer.words, words.filter(kept)]), pa.concat_arrays([newer.ids, ids.filter(kept)])
+        )
         return ids
 
     def _encode(self, texts: pa.Array) -> pa.Array:
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         words = lists.flatten().dictionary_encode()
-        ids = pa.array(self._look_up(words.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary())
-        placed = ids.take(words.indices)
+        placed = self._look_up_column(words.dictionary).take(words.indices)
         _, ends, data = placed.buffers()
         ends = np.frombuffer(ends, np.int32, len(placed) + 1)[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        del lists, words
+        pa.default_memory_pool().release_unused()  # else it holds the most that any batch took
         return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), data])
 
     def encode_column(self, texts: pa.Array) -> pa.Array:
@@ -137,7 +168,7 @@ class Encoder:
         return [b"".join(b"".join(map(lookup, piece)) for piece in text) for text in split]
 
 
-def by_size(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def by_size(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in order, in batches of about ``most`` bytes of text.
 
     A long text comes alone.

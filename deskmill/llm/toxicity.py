@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from deskmill.llm.common import pieces, table, texts_to_python, without
+from deskmill.llm.common import pieces, process_memory, table, texts_to_python, without
 
 WINDOW, STRIDE = 32, 24  # words
 BUCKETS, WIDTH, HIDDEN, LOOK = 1 << 14, 4, 6, 4
@@ -462,6 +462,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     extra = docs.withColumn("score", F.lit(0.0))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        process_memory(__name__)
         scorer = Scorer(Network(**shown.value)) if shown.value else None
         for batch in batches:
             texts = batch.column("text")
